@@ -1 +1,319 @@
-"""Placeholder."""
+"""Files written from the driver tables and read back, and landed answers (S*)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from landgauge.catalog.registry import query, scratch, table
+from landgauge.catalog.reshaping import _long_sql
+from landgauge.catalog.tables import RAW_SQL, REGION_SQL, raw_trades, region_codes, wide_index
+from landgauge.constants import TRADE_COLUMNS
+from landgauge.operators.encode import LabelEncoder
+from landgauge.operators.land_index import wide_to_long
+from landgauge.sources import artifacts, payloads, tabular, vectors
+
+RAW_COLUMNS_SQL = ", ".join(f"nullif(\"{c}\", '') AS \"{c}\"" for c in TRADE_COLUMNS)
+
+
+@query("s1_read_csv", f"WITH {RAW_SQL} SELECT {RAW_COLUMNS_SQL} FROM raw")
+def read_csv(spark, sf):
+    path = scratch(spark, "s1")
+    tabular.write_table(raw_trades(spark, sf).select(*TRADE_COLUMNS), path, fmt="csv")
+    rows = tabular.read_trades(spark, f"{path}/*.csv")
+    # CSV has no difference between an empty text and none.
+    return rows.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in TRADE_COLUMNS])
+
+
+@query(
+    "s2_read_many_files",
+    f"""WITH {RAW_SQL} SELECT "dealYear", count(*) AS rows, 1::BIGINT AS folders FROM raw GROUP BY 1""",
+)
+def read_many_files(spark, sf):
+    path = scratch(spark, "s2")
+    raw = raw_trades(spark, sf).select(*TRADE_COLUMNS)
+    parted = raw.withColumn("year", F.col("dealYear"))
+    tabular.write_table(parted, path, fmt="csv", partition_by=["year"])
+    rows = tabular.read_csv(spark, f"{path}/year=*/*.csv", raw.schema).withColumn(
+        "folder", F.regexp_extract(F.col("_metadata.file_path"), r"year=(\d+)", 1)
+    )
+    return rows.groupBy("dealYear").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("folder").alias("folders")
+    )
+
+
+@query("s3_read_wide_index", _long_sql())
+def read_wide_index(spark, sf):
+    path = scratch(spark, "s3")
+    wide = wide_index(spark, sf).withColumn("Unnamed: 99", F.lit("x"))
+    wide.write.option("header", "true").csv(path)
+    return wide_to_long(tabular.read_wide_index(spark, path))
+
+
+@query("s4_region_codes", f"WITH {REGION_SQL} SELECT code, name FROM codes")
+def read_region_codes(spark, sf):
+    # One document per province and per file, as the listing service answers them.
+    path = scratch(spark, "s4")
+    docs = region_codes(spark, sf).groupBy(F.left("code", F.lit(1)).alias("p")).agg(
+        F.collect_list(F.struct("code", "name")).alias("regcodes")
+    )
+    docs.select("regcodes").write.option("maxRecordsPerFile", 1).json(path)
+    return tabular.read_region_codes(spark, path)
+
+
+def _node(name: str, value) -> F.Column:
+    return F.coalesce(F.concat(F.lit(f"<{name}>"), value, F.lit(f"</{name}>")), F.lit(""))
+
+
+def trade_answers(spark, sf):
+    """One XML answer per order, with the trades of its lines; some answers are errors."""
+    raw = raw_trades(spark, sf)
+    item = F.concat(
+        F.lit("<item>"),
+        *[
+            _node(c, F.concat(F.lit(" "), F.col(c), F.lit(" ")))
+            for c in ["sggCd", "jibun", "houseType", "excluUseAr", "dealYear", "dealMonth", "dealAmount", "floor"]
+        ],
+        F.lit("</item>"),
+    )
+    per_order = raw.groupBy("l_orderkey").agg(F.concat_ws("", F.collect_list(item)).alias("items"))
+    slot = F.col("l_orderkey") % 50
+    head = (
+        F.when(slot == 0, "<header><resultCode>22</resultCode><resultMsg>LIMITED NUMBER</resultMsg></header>")
+        .when(slot == 1, "<header><resultCode>99</resultCode><resultMsg>DB ERROR</resultMsg></header>")
+        .when(slot == 3, "<header></header>")
+        .otherwise("<header><resultCode>000</resultCode><resultMsg>OK</resultMsg></header>")
+    )
+    body = F.concat(F.lit("<body><items>"), "items", F.lit("</items></body>"))
+    payload = F.when(slot == 2, "service is down").otherwise(
+        F.concat(F.lit("<response>"), head, body, F.lit("</response>"))
+    )
+    return per_order.select("l_orderkey", payload.alias("payload"))
+
+
+@query(
+    "s5_trade_payload",
+    f"""WITH {RAW_SQL} SELECT l_orderkey, "sggCd", jibun, "houseType", "excluUseAr", "dealYear", "dealMonth", "dealAmount",
+      coalesce(floor, '') AS floor, '' AS "umdNm", '' AS "rgstDate" FROM raw WHERE l_orderkey % 50 NOT IN (0, 1, 2)""",
+)
+def trade_payload(spark, sf):
+    answers = payloads.parse_trade_answers(trade_answers(spark, sf))
+    rows = payloads.trade_rows(answers, keep=["l_orderkey"])
+    return rows.select(
+        "l_orderkey", "sggCd", "jibun", "houseType", "excluUseAr", "dealYear", "dealMonth",
+        "dealAmount", "floor", "umdNm", "rgstDate",
+    )
+
+
+@query(
+    "st3_trade_status",
+    """SELECT CASE l_orderkey % 50 WHEN 0 THEN 'quota' WHEN 1 THEN 'service_error' WHEN 2 THEN 'parse_error' ELSE 'ok' END AS status,
+         count(*) AS answers, CAST(sum(CASE WHEN l_orderkey % 50 IN (0, 1, 2) THEN 0 ELSE n END) AS BIGINT) AS items
+       FROM (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) GROUP BY 1""",
+)
+def trade_status(spark, sf):
+    answers = payloads.parse_trade_answers(trade_answers(spark, sf))
+    return answers.groupBy("status").agg(
+        F.count(F.lit(1)).alias("answers"), F.sum("item_count").cast("long").alias("items")
+    )
+
+
+def building_answers(spark, sf):
+    """One JSON answer per customer: object or list items, empty and failed answers."""
+    k = F.col("c_custkey")
+    item = F.concat(
+        F.lit('{"indrMechUtcnt": 1, "indrAutoUtcnt": "'), (k % 7).cast("string"),
+        F.lit('", "oudrMechUtcnt": "", "hhldCnt": '), (k % 4).cast("string"),
+        F.lit(', "rideLftCnt": '), (k % 2).cast("string"),
+        F.lit(', "rideUseElvtCnt": "'), (k % 3).cast("string"),
+        F.lit('", "strctCdNm": "'), F.when(k % 2 == 0, "철근콘크리트구조").otherwise("목구조"),
+        F.lit('", "mainPurpsCdNm": "'), F.when(k % 5 == 0, "제1종근린생활시설").otherwise("공동주택"),
+        F.lit('", "grndFlrCnt": "'), F.when(k % 6 == 0, "").otherwise((k % 6).cast("string")),
+        F.lit('", "useAprDay": "19'), F.lpad((k % 100).cast("string"), 2, "0"), F.lit('0102 00:00"}'),
+    )
+    ok = F.lit('{"response": {"header": {"resultCode": "00", "resultMsg": "OK"}, "body": {"items": ')
+    slot = k % 20
+    payload = (
+        F.when(slot == 0, F.concat(ok, F.lit('""}}}')))
+        .when(slot == 1, "API TRAFFIC exceeded")
+        .when(slot == 2, "<html>oops</html>")
+        .when(slot == 3, '{"response": {"header": {"resultCode": "22", "resultMsg": "limited requests"}}}')
+        .when(slot == 4, '{"response": {"header": {"resultCode": "04", "resultMsg": "HTTP ERROR"}}}')
+        .when(slot % 2 == 0, F.concat(ok, F.lit('{"item": '), item, F.lit("}}}}")))
+        .otherwise(F.concat(ok, F.lit('{"item": ['), item, F.lit(', {"hhldCnt": 999}]}}}}')))
+    )
+    return table(spark, sf, "customer").select("c_custkey", payload.alias("payload"))
+
+
+@query(
+    "s6_building_payload",
+    """SELECT c_custkey, CASE c_custkey % 20 WHEN 0 THEN 'no_record' WHEN 1 THEN 'quota' WHEN 2 THEN 'parse_error' WHEN 3 THEN 'quota'
+         WHEN 4 THEN 'service_error' ELSE 'ok' END AS status,
+         CASE WHEN ok THEN CASE WHEN c_custkey % 4 > 0 THEN round((1 + c_custkey % 7) / CAST(c_custkey % 4 AS DOUBLE), 6) ELSE 0.8 END END AS parking_ratio,
+         CASE WHEN ok THEN CASE WHEN c_custkey % 2 > 0 OR c_custkey % 3 > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END END AS has_elevator,
+         CASE WHEN ok THEN CASE WHEN c_custkey % 2 = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END END AS building_structure,
+         CASE WHEN ok THEN CASE WHEN c_custkey % 5 = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END END AS is_commercial_villa,
+         CASE WHEN ok THEN CASE WHEN c_custkey % 6 = 0 THEN 4.0::DOUBLE ELSE CAST(c_custkey % 6 AS DOUBLE) END END AS total_floors,
+         CASE WHEN ok THEN '19' || lpad(CAST(c_custkey % 100 AS VARCHAR), 2, '0') || '0102' END AS approval_date
+       FROM (SELECT *, c_custkey % 20 > 4 AS ok FROM customer)""",
+)
+def building_payload(spark, sf):
+    facts = payloads.parse_building_answers(building_answers(spark, sf))
+    whole = ["has_elevator", "building_structure", "is_commercial_villa", "total_floors"]
+    return facts.select(
+        "c_custkey", "status", F.round("parking_ratio", 6).alias("parking_ratio"), "approval_date",
+        *[F.col(c).cast("double").alias(c) for c in whole],
+    )
+
+
+def geocode_answers(spark, sf):
+    k = F.col("c_custkey")
+    slot = k % 10
+    lng, lat = (k % 400 + 12600).cast("string"), (k % 500 + 3300).cast("string")
+    address = (
+        F.when(slot == 0, '{"documents": []}')
+        .when(slot == 1, "gateway timeout")
+        .when(slot == 2, '{"documents": [{"x": "east", "y": "north"}]}')
+        .otherwise(F.concat(F.lit('{"documents": [{"x": "'), lng, F.lit('", "y": "'), lat, F.lit('"}, {"x": "0", "y": "0"}]}')))
+    )
+    place = (
+        F.when(k % 3 == 0, '{"documents": []}')
+        .when(k % 3 == 1, "oops")
+        .otherwise(F.concat(F.lit('{"documents": [{"place_name": "역'), (k % 9).cast("string"), F.lit('", "distance": "'), (k % 1000).cast("string"), F.lit('"}]}')))
+    )
+    return table(spark, sf, "customer").select(
+        "c_custkey", address.alias("payload"), place.alias("place"),
+        F.when(slot == 3, "API_LIMIT_REACHED").alias("call_error"),
+    )
+
+
+GEOCODE_SQL = """
+answers AS (SELECT c_custkey, CASE c_custkey % 10 WHEN 0 THEN 'ADDRESS_NOT_FOUND' WHEN 1 THEN 'EXCEPTION_PARSE'
+    WHEN 2 THEN 'EXCEPTION_PARSE' WHEN 3 THEN 'API_LIMIT_REACHED' END AS error FROM customer)
+"""
+
+
+@query(
+    "s7_geocode_payload",
+    f"""WITH {GEOCODE_SQL} SELECT c_custkey, error, CASE WHEN error IS NULL THEN CAST(c_custkey % 500 + 3300 AS DOUBLE) END AS lat,
+      CASE WHEN error IS NULL THEN CAST(c_custkey % 400 + 12600 AS DOUBLE) END AS lng FROM answers""",
+)
+def geocode_payload(spark, sf):
+    return payloads.parse_geocode_answers(
+        geocode_answers(spark, sf), call_error="call_error"
+    ).select("c_custkey", "error", "lat", "lng")
+
+
+@query(
+    "s8_place_payload",
+    f"""WITH {GEOCODE_SQL} SELECT c_custkey, CASE WHEN error IS NULL AND c_custkey % 3 = 2 THEN '역' || (c_custkey % 9) END AS subway_name,
+      CASE WHEN error IS NULL AND c_custkey % 3 = 2 THEN CAST(c_custkey % 1000 AS DOUBLE) END AS subway_dist FROM answers""",
+)
+def place_payload(spark, sf):
+    return payloads.parse_geocode_answers(
+        geocode_answers(spark, sf), place_payload="place", call_error="call_error"
+    ).select("c_custkey", "subway_name", "subway_dist")
+
+
+@query(
+    "s9_legal_dong_payload",
+    """SELECT sgg, "umdNm", max(bjdong) AS bjdong FROM (
+         SELECT CAST(10000 + s_nationkey AS VARCHAR) AS sgg, 'dong' || (s_suppkey % 37) AS "umdNm",
+           lpad(CAST(s_suppkey % 1000 AS VARCHAR), 5, '0') AS bjdong FROM supplier) GROUP BY 1, 2""",
+)
+def legal_dong_payload(spark, sf):
+    s = F.col("s_suppkey")
+    sgg = (F.col("s_nationkey") + 10000).cast("string")
+    payload = F.concat(
+        F.lit('{"regcodes": [{"code": "'), sgg, F.lit('00000", "name": "one"}, {"code": "'), sgg,
+        F.lpad((s % 1000).cast("string"), 5, "0"), F.lit('", "name": "prov city dong'),
+        (s % 37).cast("string"), F.lit('"}]}'),
+    )
+    landed = table(spark, sf, "supplier").select(sgg.alias("sgg"), payload.alias("payload"))
+    return payloads.legal_dong_codes(landed)
+
+
+@query("s10_overwrite_sink", "SELECT o_orderkey, o_totalprice FROM orders")
+def overwrite_sink(spark, sf):
+    path = scratch(spark, "s10")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    tabular.write_table(orders.withColumn("o_totalprice", F.lit(0.0)), path)
+    tabular.write_table(orders, path)
+    return spark.read.parquet(path)
+
+
+@query("s11_append_sink", "SELECT event_id, event_type FROM events")
+def append_sink(spark, sf):
+    path = scratch(spark, "s11")
+    events = table(spark, sf, "events").select("event_id", "event_type")
+    clicks = F.col("event_type") == "click"
+    tabular.append_results(events.where(clicks), path)
+    tabular.append_results(events.where(~clicks), path)
+    return spark.read.parquet(path)
+
+
+@query(
+    "s12_partitioned_parquet",
+    """SELECT CAST(year(o_orderdate) AS INTEGER) AS "dealYear", count(*) AS rows FROM orders GROUP BY 1""",
+)
+def partitioned_parquet(spark, sf):
+    path = scratch(spark, "s12")
+    orders = table(spark, sf, "orders").withColumn("dealYear", F.year("o_orderdate"))
+    tabular.write_table(orders, path, partition_by=["dealYear"])
+    return spark.read.parquet(path).groupBy("dealYear").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query(
+    "s13_embedding_table",
+    """SELECT vec_id AS id, len(embedding) AS dims, round(list_sum(CAST(embedding AS DOUBLE[])), 6) AS total FROM embeddings""",
+)
+def embedding_table(spark, sf):
+    path = scratch(spark, "s13")
+    rows = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    vectors.write_embeddings(rows, path)
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double"))
+    return vectors.read_embeddings(spark, path).select(
+        "id", F.size("embedding").cast("long").alias("dims"), F.round(total, 6).alias("total")
+    )
+
+
+@query(
+    "s14_bounded_parts",
+    """SELECT count(*) AS rows, CAST(sum(vec_id) AS BIGINT) AS ids, true AS bounded,
+         CAST(ceil(count(*) * 64 * 4 / 40000.0::DOUBLE) AS BIGINT) AS parts FROM embeddings""",
+)
+def bounded_parts(spark, sf):
+    path = scratch(spark, "s14")
+    rows = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    parts, per_part = vectors.part_layout(rows.count(), 64, part_bytes=40_000)
+    vectors.write_embeddings(rows, path, rows_per_part=per_part)
+    written = vectors.read_embeddings(spark, path).select("id", F.col("_metadata.file_name").alias("file"))
+    sizes = written.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"))
+    return sizes.agg(
+        F.sum("n").alias("rows"), F.sum("ids").alias("ids"),
+        (F.max("n") <= per_part).alias("bounded"), F.lit(parts).cast("long").alias("parts"),
+    )
+
+
+@query(
+    "s15_saved_encoder",
+    """SELECT o_orderkey, CAST(dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS INTEGER) AS code FROM orders""",
+)
+def saved_encoder(spark, sf):
+    folder = scratch(spark, "s15")
+    orders = table(spark, sf, "orders")
+    artifacts.save_mapping(LabelEncoder.fit(orders, ["o_orderpriority"]).table(), folder, "labels")
+    again = LabelEncoder.from_table(artifacts.load_mapping(spark, folder, "labels"))
+    return again.transform(orders).select("o_orderkey", F.col("o_orderpriority_encoded").alias("code"))
+
+
+@query(
+    "s16_metric_rows",
+    """SELECT count(*) AS rows, round(avg(o_totalprice), 4) AS mae FROM orders""",
+)
+def metric_rows(spark, sf):
+    path = scratch(spark, "s16")
+    row = table(spark, sf, "orders").agg(
+        F.count(F.lit(1)).alias("rows"), F.round(F.avg("o_totalprice"), 4).alias("mae")
+    )
+    artifacts.write_metrics(row, path)
+    return spark.read.parquet(path)

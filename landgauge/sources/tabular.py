@@ -77,7 +77,13 @@ def write_table(
         df = df.repartition(*[F.col(c) for c in partition_by], spread)
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", "true").option("escape", '"')
+        # Text keeps its outer blanks; the writer would trim them.
+        writer = writer.options(
+            header="true",
+            escape='"',
+            ignoreLeadingWhiteSpace="false",
+            ignoreTrailingWhiteSpace="false",
+        )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
