@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landgauge.catalog.registry import table
+from landgauge.operators.regions import mapped_or_same
 
 MONTHS = [(y, m) for y in range(1995, 2002) for m in range(1, 13)]
 
@@ -189,27 +190,28 @@ def wide_index(spark: SparkSession, sf: str) -> DataFrame:
     shown = F.when(~gap, F.format_number(index, 0)).otherwise("")
     label = F.concat(F.col("y").cast("string"), F.lit("년 "), F.col("m").cast("string"), F.lit("월"))
     labels = [f"{y}년 {m}월" for y, m in MONTHS]
-    whole = (
-        monthly.select("c_nationkey", label.alias("label"), shown.alias("shown"))
-        .groupBy("c_nationkey")
-        .pivot("label", labels)
-        .agg(F.first("shown"))
+    # Even nations get a second row, for a district, half a point higher.
+    level = F.explode(
+        F.when(F.col("c_nationkey") % 2 == 0, F.array(F.lit(None).cast("string"), F.lit("GU1"))).otherwise(
+            F.array(F.lit(None).cast("string"))
+        )
+    )
+    rows = monthly.select("c_nationkey", level.alias("gu"), label.alias("label"), shown.alias("shown"))
+    rows = rows.withColumn(
+        "shown",
+        F.when(F.col("gu").isNotNull() & (F.col("shown") != ""), F.concat("shown", F.lit(".5"))).otherwise(F.col("shown")),
     )
-    named = (
-        whole.join(nation, whole.c_nationkey == nation.n_nationkey)
-        .join(region, nation.n_regionkey == region.r_regionkey)
+    wide = rows.groupBy("c_nationkey", "gu").pivot("label", labels).agg(F.first("shown"))
+    named = wide.join(nation, wide.c_nationkey == nation.n_nationkey).join(
+        region, nation.n_regionkey == region.r_regionkey
     )
-    sido = F.col("r_name")
-    for long, short in PROVINCE_NAMES.items():
-        sido = F.when(F.col("r_name") == long.removesuffix("_LONG"), short).otherwise(sido)
-    sido = F.when(sido == F.col("r_name"), F.concat(F.replace("r_name", F.lit(" "), F.lit("_")), F.lit("_LONG"))).otherwise(sido)
-    months = [F.col(f"`{m}`") for m in labels]
-    city = named.select(sido.alias("지역"), F.col("n_name").alias("지역1"), F.col("n_name").alias("지역2"), *months)
-    district = named.where("n_nationkey % 2 = 0").select(
-        sido.alias("지역"), F.col("n_name").alias("지역1"), F.lit("GU1").alias("지역2"),
-        *[F.when(m != "", F.concat(m, F.lit(".5"))).otherwise(m).alias(n) for m, n in zip(months, labels)],
+    long_name = F.concat(F.replace("r_name", F.lit(" "), F.lit("_")), F.lit("_LONG"))
+    return named.select(
+        mapped_or_same(long_name, PROVINCE_NAMES).alias("지역"),
+        F.col("n_name").alias("지역1"),
+        F.coalesce("gu", "n_name").alias("지역2"),
+        *[F.col(f"`{m}`") for m in labels],
     )
-    return city.unionByName(district)
 
 
 INDEX_SQL = """

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from landgauge.constants import INDEX_KEYS, SINGLE_REGION_LABEL
@@ -62,9 +62,8 @@ def one_per_month(long: DataFrame) -> DataFrame:
 
 def latest_index(index: DataFrame) -> DataFrame:
     """Newest index value per region."""
-    month_no = F.col("dealYear") * 12 + F.col("dealMonth")
     return index.groupBy(*INDEX_KEYS).agg(
-        F.max_by("land_index", month_no).alias("current_land_index")
+        F.max_by("land_index", month_no()).alias("current_land_index")
     )
 
 
@@ -76,9 +75,11 @@ def month_grid(index: DataFrame, trades: DataFrame) -> DataFrame:
     return grid.join(index, keys, "left")
 
 
-def fill_months(grid: DataFrame, value: str = "land_index") -> DataFrame:
+def fill_months(
+    grid: DataFrame, value: str = "land_index", order: list[str] | None = None
+) -> DataFrame:
     """Carry the last known value forward, then the first known one back, inside each region."""
-    w = Window.partitionBy(*INDEX_KEYS).orderBy(*MONTH)
+    w = Window.partitionBy(*INDEX_KEYS).orderBy(*(order or MONTH))
     before = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     after = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     filled = F.coalesce(
@@ -88,14 +89,33 @@ def fill_months(grid: DataFrame, value: str = "land_index") -> DataFrame:
     return grid.withColumn(value, filled)
 
 
+def month_no(year: str = "dealYear", month: str = "dealMonth") -> Column:
+    return F.col(year) * 12 + F.col(month) - 1
+
+
+def calendar_grid(index: DataFrame, first: int, last: int) -> DataFrame:
+    """Every region with every month number from ``first`` to ``last``, with the index where known."""
+    known = index.withColumn("month_no", month_no()).drop(*MONTH)
+    regions = index.select(*INDEX_KEYS).distinct()
+    months = F.explode(F.sequence(F.lit(first), F.lit(last)))
+    return regions.withColumn("month_no", months).join(known, [*INDEX_KEYS, "month_no"], "left")
+
+
 def attach_index(trades: DataFrame, index: DataFrame) -> DataFrame:
     """land_index at the deal month, current_land_index and Time_Adjustment of each trade.
 
-    Grid and newest values are joined to each other first, so the trades meet one small table
-    whose size is measured before the join is planned.
+    Beyond the months of the index the filled value no longer changes, so a trade's month is moved
+    to the nearest index month instead of growing the grid by the months of the trades. The trades are
+    read once and meet one small table, whose size is measured before the join is planned.
     """
-    grid = fill_months(month_grid(index, trades)).join(latest_index(index), INDEX_KEYS, "left")
-    joined = trades.join(measured(grid), [*INDEX_KEYS, *MONTH], "left")
-    return joined.withColumn(
+    first, last = index.agg(F.min(month_no()), F.max(month_no())).first()
+    if first is None:
+        empty = {c: F.lit(None).cast("double") for c in ("land_index", "current_land_index")}
+        return trades.withColumns({**empty, "Time_Adjustment": F.lit(None).cast("double")})
+    grid = fill_months(calendar_grid(index, first, last), order=["month_no"])
+    grid = measured(grid.join(latest_index(index), INDEX_KEYS, "left"))
+    nearest = N.at_most(N.at_least(month_no(), first), last)
+    joined = trades.withColumn("month_no", nearest).join(grid, [*INDEX_KEYS, "month_no"], "left")
+    return joined.drop("month_no").withColumn(
         "Time_Adjustment", N.time_adjustment("current_land_index", "land_index")
     )

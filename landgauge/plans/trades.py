@@ -52,8 +52,9 @@ def prepare_trades(
     Row count in, row count out: each lookup has one row per key.
     """
     names = PROVINCE_SHORT_NAMES if province_names is None else province_names
+    codes = measured(region_codes)
     trades = typed_trades(valid_deals(raw))
-    trades = attach_region(trades, measured(region_lookup(region_codes, names)))
-    trades = attach_land_region(trades, measured(parent_lookup(region_codes, names)))
+    trades = attach_region(trades, region_lookup(codes, names))
+    trades = attach_land_region(trades, parent_lookup(codes, names))
     index = measured(one_per_month(union_all([wide_to_long(w) for w in wide_indexes])))
     return attach_index(trades, index).drop("land_region")
