@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import functions as F
 
 from landgauge.catalog.registry import query, table
@@ -24,43 +26,43 @@ RAW = f"WITH {RAW_SQL} SELECT {KEYS_SQL}, "
 TYPED = f"WITH {RAW_SQL}, {TYPED_SQL} SELECT {KEYS_SQL}, "
 
 
-def _raw(name: str, columns: dict, sql: str) -> None:
-    """Register expressions over the raw text columns."""
+def _raw(name: str, columns: Callable[[], dict], sql: str) -> None:
+    """Register expressions over the raw text columns; they are built when the query runs."""
 
     def run(spark, sf):
-        return raw_trades(spark, sf).select(*KEYS, *[c.alias(n) for n, c in columns.items()])
+        return raw_trades(spark, sf).select(*KEYS, *[c.alias(n) for n, c in columns().items()])
 
     query(name, f"{RAW}{sql}" if " FROM (" in sql else f"{RAW}{sql} FROM raw")(run)
 
 
-def _typed(name: str, columns: dict, sql: str) -> None:
+def _typed(name: str, columns: Callable[[], dict], sql: str) -> None:
     """Register expressions over the typed columns."""
 
     def run(spark, sf):
         typed = typed_trades(raw_trades(spark, sf))
-        return typed.select(*KEYS, *[c.alias(n) for n, c in columns.items()])
+        return typed.select(*KEYS, *[c.alias(n) for n, c in columns().items()])
 
     query(name, f"{TYPED}{sql} FROM typed")(run)
 
 
 def register() -> None:
     c, lit = F.col, F.lit
-    _raw("p1_strict_long", {"amount": P.strict_long("dealAmount")},
+    _raw("p1_strict_long", lambda: {"amount": P.strict_long("dealAmount")},
          """CAST(replace("dealAmount", ',', '') AS BIGINT) AS amount""")
     _raw("p2_lenient_number",
-         {"build": P.lenient_double("buildYear"), "amount": P.lenient_double("dealAmount")},
+         lambda: {"build": P.lenient_double("buildYear"), "amount": P.lenient_double("dealAmount")},
          """TRY_CAST("buildYear" AS DOUBLE) AS build,
             TRY_CAST(replace("dealAmount", ',', '') AS DOUBLE) AS amount""")
-    _raw("p3_int_or_zero", {"year": P.int_or_zero("buildYear")},
+    _raw("p3_int_or_zero", lambda: {"year": P.int_or_zero("buildYear")},
          """CAST(coalesce(TRY_CAST("buildYear" AS DOUBLE), 0) AS INTEGER) AS year""")
     _raw("p4_text_or_null",
-         {"name": P.text_or_null(F.when(c("l_partkey") % 4 == 0, lit("nan")).otherwise(c("jibun")))},
+         lambda: {"name": P.text_or_null(F.when(c("l_partkey") % 4 == 0, lit("nan")).otherwise(c("jibun")))},
          """nullif(CASE WHEN l_partkey % 4 = 0 THEN 'nan' ELSE jibun END, 'nan') AS name""")
     # Days run to 31 in every month, so that some do not exist.
-    day = (c("l_partkey") % 31 + 1).cast("string")
+    day = lambda: (c("l_partkey") % 31 + 1).cast("string")
     _raw("p5_deal_date",
-         {"deal_date": P.deal_date("dealYear", "dealMonth", day).cast("string"),
-          "approval": P.lenient_date(F.concat("dealYear", F.lpad("dealMonth", 2, "0"), day)).cast("string")},
+         lambda: {"deal_date": P.deal_date("dealYear", "dealMonth", day()).cast("string"),
+          "approval": P.lenient_date(F.concat("dealYear", F.lpad("dealMonth", 2, "0"), day())).cast("string")},
          """CAST(coalesce(TRY_CAST(printf('%04d-%02d-%02d', CAST("dealYear" AS INTEGER), CAST("dealMonth" AS INTEGER),
               CAST(l_partkey % 31 + 1 AS INTEGER)) AS DATE),
               make_date(CAST("dealYear" AS BIGINT), 1, 1)) AS VARCHAR) AS deal_date,
@@ -68,44 +70,44 @@ def register() -> None:
               CAST("dealYear" AS INTEGER), CAST("dealMonth" AS INTEGER), CAST(l_partkey % 31 + 1 AS INTEGER)) AS DATE) AS VARCHAR)
             END AS approval""")
     _raw("p6_region_code",
-         {"code": P.region_code("sggCd"), "short": P.region_code(F.concat((c("l_suppkey") % 999).cast("string"), lit(".0")))},
+         lambda: {"code": P.region_code("sggCd"), "short": P.region_code(F.concat((c("l_suppkey") % 999).cast("string"), lit(".0")))},
          """lpad(CAST(CAST(CAST("sggCd" AS DOUBLE) AS INTEGER) AS VARCHAR), 5, '0') AS code,
             lpad(CAST(l_suppkey % 999 AS VARCHAR), 5, '0') AS short""")
-    odd = F.when(c("l_partkey") % 29 == 0, "").when(c("l_partkey") % 29 == 1, " 산 5-1 ") \
+    odd = lambda: F.when(c("l_partkey") % 29 == 0, "").when(c("l_partkey") % 29 == 1, " 산 5-1 ") \
         .when(c("l_partkey") % 29 == 2, "12345").when(c("l_partkey") % 29 == 3, "1-2-3") \
         .when(c("l_partkey") % 29 == 4, None).otherwise(c("jibun"))
-    _raw("p7_lot_number", {"bun": P.lot_number(odd)["bun"], "ji": P.lot_number(odd)["ji"]},
+    _raw("p7_lot_number", lambda: {"bun": P.lot_number(odd())["bun"], "ji": P.lot_number(odd())["ji"]},
          """CASE WHEN lot IS NULL THEN NULL WHEN length(bun) < 4 THEN lpad(bun, 4, '0') ELSE bun END AS bun,
             CASE WHEN lot IS NULL THEN NULL WHEN length(ji) < 4 THEN lpad(ji, 4, '0') ELSE ji END AS ji
             FROM (SELECT *, trim(split_part(lot, '-', 1)) AS bun, trim(split_part(lot, '-', 2)) AS ji
             FROM (SELECT *, nullif(trim(CASE l_partkey % 29 WHEN 0 THEN '' WHEN 1 THEN ' 산 5-1 ' WHEN 2 THEN '12345'
               WHEN 3 THEN '1-2-3' WHEN 4 THEN NULL ELSE jibun END), '') AS lot FROM raw) raw)""")
-    header = F.concat(c("dealYear"), lit("년"), F.when(c("l_partkey") % 2 == 0, " ").otherwise(""), c("dealMonth"), lit("월"))
-    _raw("p8_header_month", {"y": P.header_year(header), "m": P.header_month(header)},
+    header = lambda: F.concat(c("dealYear"), lit("년"), F.when(c("l_partkey") % 2 == 0, " ").otherwise(""), c("dealMonth"), lit("월"))
+    _raw("p8_header_month", lambda: {"y": P.header_year(header()), "m": P.header_month(header())},
          """CAST("dealYear" AS INTEGER) AS y, CAST("dealMonth" AS INTEGER) AS m""")
-    _raw("p9_building_name", {"name": P.building_name("mhouseNm")},
+    _raw("p9_building_name", lambda: {"name": P.building_name("mhouseNm")},
          """coalesce(nullif(trim(regexp_replace(regexp_replace("mhouseNm",
               '[^a-zA-Z0-9가-힣\\s(),]', '', 'g'), '\\s+', ' ', 'g')), ''), '미명명 단지') AS name""")
-    path = F.concat_ws(" ", lit("prov"), c("umdNm"), c("houseType"))
+    path = lambda: F.concat_ws(" ", lit("prov"), c("umdNm"), c("houseType"))
     _raw("p10_name_tokens",
-         {"first": P.first_token(path), "last": P.last_token(path), "tokens": P.token_count(path)},
+         lambda: {"first": P.first_token(path()), "last": P.last_token(path()), "tokens": P.token_count(path())},
          """'prov' AS first, "houseType" AS last,
             CAST(CASE WHEN "umdNm" IS NULL THEN 2 ELSE 3 END AS INTEGER) AS tokens""")
     _raw("p11_code_prefix",
-         {"prefix": F.substring("sggCd", 1, 4), "is_city": c("sggCd").endswith("0"), "first_region": c("sggCd").startswith("1")},
+         lambda: {"prefix": F.substring("sggCd", 1, 4), "is_city": c("sggCd").endswith("0"), "first_region": c("sggCd").startswith("1")},
          """substr("sggCd", 1, 4) AS prefix, ends_with("sggCd", '0') AS is_city,
             starts_with("sggCd", '1') AS first_region""")
-    own = F.when(c("l_partkey") % 3 == 0, "").when(c("l_partkey") % 3 == 1, F.concat("dealYear", lit("0115103000")))
-    _raw("p12_compact_date", {"approved": P.compact_date(own, "buildYear")},
+    own = lambda: F.when(c("l_partkey") % 3 == 0, "").when(c("l_partkey") % 3 == 1, F.concat("dealYear", lit("0115103000")))
+    _raw("p12_compact_date", lambda: {"approved": P.compact_date(own(), "buildYear")},
          """substr(trim(coalesce(nullif(CASE l_partkey % 3 WHEN 0 THEN '' WHEN 1 THEN "dealYear" || '0115103000' END, ''),
               nullif("buildYear", ''), '')), 1, 8) AS approved""")
-    zeros = F.when(c("l_partkey") % 3 == 0, "0").when(c("l_partkey") % 3 == 1, "")
-    _raw("p13_first_filled", {"lifts": P.first_filled_number(zeros, "floor", default=9)},
+    zeros = lambda: F.when(c("l_partkey") % 3 == 0, "0").when(c("l_partkey") % 3 == 1, "")
+    _raw("p13_first_filled", lambda: {"lifts": P.first_filled_number(zeros(), "floor", default=9)},
          """coalesce(TRY_CAST(floor AS DOUBLE), 9.0::DOUBLE) AS lifts""")
-    _raw("p14_address", {"address": P.address("sggCd", "umdNm", "jibun")},
+    _raw("p14_address", lambda: {"address": P.address("sggCd", "umdNm", "jibun")},
          """trim(concat_ws(' ', "sggCd", "umdNm", jibun)) AS address""")
     _typed("p16_amount_text",
-           {"amount": X.amount_text(c("dealAmount")),
+           lambda: {"amount": X.amount_text(c("dealAmount")),
             "round_amount": X.amount_text(F.expr("dealAmount div 10000 * 10000")),
             "none": X.amount_text(F.when(c("l_partkey") % 2 == 0, c("dealAmount")))},
            """CASE WHEN "dealAmount" >= 10000 THEN ("dealAmount" // 10000) || '억 ' ELSE '' END
@@ -113,50 +115,50 @@ def register() -> None:
               CASE WHEN "dealAmount" >= 10000 THEN ("dealAmount" // 10000) || '억 원' ELSE '원' END AS round_amount,
               CASE WHEN l_partkey % 2 <> 0 THEN '원' ELSE CASE WHEN "dealAmount" >= 10000 THEN ("dealAmount" // 10000) || '억 ' ELSE '' END
               || CASE WHEN "dealAmount" % 10000 > 0 THEN format('{:,}', "dealAmount" % 10000) || '만 원' ELSE '원' END END AS none""")
-    ratio = c("l_orderkey") % 160 / 100.0
-    _typed("p19_number_text", {"area": X.rounded_text(c("excluUseAr") + ratio), "ratio": X.short_number_text(ratio)},
+    ratio = lambda: c("l_orderkey") % 160 / 100.0
+    _typed("p19_number_text", lambda: {"area": X.rounded_text(c("excluUseAr") + ratio()), "ratio": X.short_number_text(ratio())},
            """CAST(CAST(round_even("excluUseAr" + (l_orderkey % 160) / 100.0::DOUBLE, 1) AS DECIMAL(18, 1)) AS VARCHAR) AS area,
               CAST(round_even((l_orderkey % 160) / 100.0::DOUBLE, 2) AS VARCHAR) AS ratio""")
-    _typed("m1_unit_price", {"price": N.unit_price("dealAmount", "excluUseAr"),
+    _typed("m1_unit_price", lambda: {"price": N.unit_price("dealAmount", "excluUseAr"),
                              "by_zero": N.unit_price("dealAmount", c("l_partkey") % 3)},
            """"dealAmount" / "excluUseAr" AS price,
               CASE WHEN l_partkey % 3 <> 0 THEN "dealAmount" / CAST(l_partkey % 3 AS DOUBLE) END AS by_zero""")
-    _typed("m2_nominal_price", {"nominal": N.nominal_price("dealAmount", "excluUseAr")},
+    _typed("m2_nominal_price", lambda: {"nominal": N.nominal_price("dealAmount", "excluUseAr")},
            """"dealAmount" * 10000 / "excluUseAr" AS nominal""")
-    _typed("m4_ages", {"age": N.age("dealYear", "buildYear"), "clipped": N.deal_age("dealYear", "buildYear")},
+    _typed("m4_ages", lambda: {"age": N.age("dealYear", "buildYear"), "clipped": N.deal_age("dealYear", "buildYear")},
            """"dealYear" - "buildYear" AS age,
               CASE WHEN "dealYear" - "buildYear" < 0 THEN 0 ELSE "dealYear" - "buildYear" END AS clipped""")
     _typed("m5_log_price",
-           {"logged": F.round(N.log_price(N.nominal_price("dealAmount", "excluUseAr")), 6),
+           lambda: {"logged": F.round(N.log_price(N.nominal_price("dealAmount", "excluUseAr")), 6),
             "restored": F.round(N.price_from_log(N.log_price(c("excluUseAr"))), 6)},
            """round(ln(1 + "dealAmount" * 10000 / "excluUseAr"), 6) AS logged, round("excluUseAr", 6) AS restored""")
-    metres = F.when(c("l_partkey") % 9 != 0, (c("l_partkey") * 7 % 3000).cast("double"))
+    metres = lambda: F.when(c("l_partkey") % 9 != 0, (c("l_partkey") * 7 % 3000).cast("double"))
     metres_sql = "CASE WHEN l_partkey % 9 <> 0 THEN CAST(l_partkey * 7 % 3000 AS DOUBLE) END"
-    _typed("m6_capped_distance", {"capped": N.capped_distance(metres)},
+    _typed("m6_capped_distance", lambda: {"capped": N.capped_distance(metres())},
            f"CASE WHEN {metres_sql} > 1500 THEN 1500.0::DOUBLE ELSE {metres_sql} END AS capped")
-    _typed("m7_subway_area", {"near": N.subway_area(metres)},
+    _typed("m7_subway_area", lambda: {"near": N.subway_area(metres())},
            f"CASE WHEN {metres_sql} <= 500 THEN 1 ELSE 0 END AS near")
-    _typed("m8_high_floor", {"high": N.high_floor_without_elevator("floor", c("l_partkey") % 2)},
+    _typed("m8_high_floor", lambda: {"high": N.high_floor_without_elevator("floor", c("l_partkey") % 2)},
            "CASE WHEN floor >= 4 AND l_partkey % 2 = 0 THEN 1 ELSE 0 END AS high")
-    _typed("m9_area_ratio", {"ratio": F.round(N.area_ratio("excluUseAr", "landAr"), 6)},
+    _typed("m9_area_ratio", lambda: {"ratio": F.round(N.area_ratio("excluUseAr", "landAr"), 6)},
            """round(CASE WHEN "landAr" + 1e-5 <> 0 THEN "excluUseAr" / ("landAr" + 1e-5) END, 6) AS ratio""")
-    count = F.when(c("l_partkey") % 4 == 0, "").otherwise((c("l_partkey") % 6).cast("string"))
+    count = lambda: F.when(c("l_partkey") % 4 == 0, "").otherwise((c("l_partkey") % 6).cast("string"))
     _raw("m11_parking_ratio",
-         {"ratio": N.parking_ratio((c("l_linenumber") - 1).cast("string"), count, count, lit("1"), lit(None).cast("string"))},
+         lambda: {"ratio": N.parking_ratio((c("l_linenumber") - 1).cast("string"), count(), count(), lit("1"), lit(None).cast("string"))},
          """CASE WHEN l_linenumber > 1 THEN (coalesce(TRY_CAST(CASE WHEN l_partkey % 4 = 0 THEN '' ELSE CAST(l_partkey % 6 AS VARCHAR) END AS DOUBLE), 0) * 2 + 1)
               / (l_linenumber - 1) ELSE 0.8::DOUBLE END AS ratio""")
-    structure = F.when(c("l_partkey") % 4 == 0, "철근콘크리트구조").when(c("l_partkey") % 4 == 1, "Src").when(c("l_partkey") % 4 == 2, "목조")
-    purpose = F.when(c("l_partkey") % 3 == 0, "제2종근린생활시설").when(c("l_partkey") % 3 == 1, "주택")
+    structure = lambda: F.when(c("l_partkey") % 4 == 0, "철근콘크리트구조").when(c("l_partkey") % 4 == 1, "Src").when(c("l_partkey") % 4 == 2, "목조")
+    purpose = lambda: F.when(c("l_partkey") % 3 == 0, "제2종근린생활시설").when(c("l_partkey") % 3 == 1, "주택")
     _raw("m12_building_flags",
-         {"elevator": N.elevator_flag(zeros, "floor"), "concrete": N.concrete_flag(structure),
-          "mixed": N.mixed_use_flag(purpose), "floors": N.floor_count("buildYear")},
+         lambda: {"elevator": N.elevator_flag(zeros(), "floor"), "concrete": N.concrete_flag(structure()),
+          "mixed": N.mixed_use_flag(purpose()), "floors": N.floor_count("buildYear")},
          """CASE WHEN TRY_CAST(floor AS DOUBLE) > 0 THEN 1 ELSE 0 END AS elevator,
             CASE WHEN l_partkey % 4 IN (0, 1) THEN 1 ELSE 0 END AS concrete,
             CASE WHEN l_partkey % 3 = 0 THEN 1 ELSE 0 END AS mixed,
             CAST(coalesce(TRY_CAST("buildYear" AS DOUBLE), 4) AS INTEGER) AS floors""")
-    _typed("m13_final_value", {"worth": F.round(N.final_value(c("Price_per_m2"), "excluUseAr"), 3)},
+    _typed("m13_final_value", lambda: {"worth": F.round(N.final_value(c("Price_per_m2"), "excluUseAr"), 3)},
            """round("Price_per_m2" * "excluUseAr", 3) AS worth""")
-    _typed("m14_percent_error", {"error": F.round(N.absolute_pct_error("dealAmount", c("l_partkey")), 6)},
+    _typed("m14_percent_error", lambda: {"error": F.round(N.absolute_pct_error("dealAmount", c("l_partkey")), 6)},
            """round(abs(("dealAmount" - l_partkey) / CAST("dealAmount" AS DOUBLE)) * 100, 6) AS error""")
 
 

@@ -75,54 +75,62 @@ def _on_sphere(df: DataFrame) -> DataFrame:
 
 
 def _finest_edge(stations: DataFrame) -> float:
-    """Cell edge that leaves about one station per occupied cell."""
+    """Cell edge at which the 27 cells around a point hold about one station."""
     axes = [F.max(c) - F.min(c) for c in ("_x", "_y", "_z")]
     n, dx, dy, dz = stations.agg(F.count(F.lit(1)), *axes).first()
     area = dx * dy + dy * dz + dz * dx
-    return min(2.0, max(math.sqrt(area / n), 1e-7))
+    return min(2.0, max(math.sqrt(area / n) / 4, 1e-7))
 
 
 def nearest_by_grid(points: DataFrame, stations: DataFrame, name: str) -> DataFrame:
     """(lat, lng, _near) per distinct point, by way of a grid with doubling cell edges.
 
-    A point takes the finest level at which its 27 surrounding cells hold a station; that
-    station is at most 2*sqrt(3) edges away. Two levels up an edge is four times as long, so the 27
-    cells there hold every station that is as near or nearer, the answer and its ties included.
+    A point's cell takes the finest level at which the 27 cells around it hold a station; that
+    station is at most 2*sqrt(3) edges away. Two levels up an edge is four times as long, so the
+    27 cells there hold every station that is as near or nearer, the answer and its ties included.
+    Of these a cell keeps the stations that are nearest to some place inside it, and its points are
+    compared with those alone.
     """
     located = _on_sphere(stations.select("lat", "lng", F.col(name).alias("name")))
     edge = _finest_edge(located)
     top = max(0, math.ceil(math.log2(2.0 / edge)))
     axes = ("_x", "_y", "_z")
-
-    def cell(axis: str) -> Column:
-        return F.floor((F.col(axis) + 1) / edge).alias(f"c{axis}")
-
-    # Every station is entered, at each level, in the 27 cells it can be seen from.
-    levelled = located.select("_a", "_o", "name", *[cell(a) for a in axes]).withColumn(
-        "level", F.explode(F.sequence(F.lit(0), F.lit(top)))
-    )
-    step = F.explode(F.array(*[F.lit(d) for d in (-1, 0, 1)]))
-    reach = levelled
-    for a in axes:
-        at_level = F.expr(f"shiftright(c{a}, level)")
-        reach = reach.withColumn("_d", step).withColumn(f"k{a}", at_level + F.col("_d")).drop("_d")
+    own = [f"c{a}" for a in axes]
     keys = ["level", *[f"k{a}" for a in axes]]
-    reach = reach.select(*keys, "name", F.col("_a").alias("_sa"), F.col("_o").alias("_so"))
 
-    spots = _on_sphere(points.select("lat", "lng").distinct())
-    spots = spots.select("lat", "lng", "_a", "_o", *[cell(a) for a in axes])
-    own = [f"c{a}" for a in axes]
+    def with_cell(df: DataFrame) -> DataFrame:
+        return df.withColumns({f"c{a}": F.floor((F.col(a) + 1) / edge) for a in axes})
 
-    def at(level: Column | str, df: DataFrame) -> DataFrame:
-        df = df.withColumn("level", level) if isinstance(level, Column) else df
+    def at_level(df: DataFrame) -> DataFrame:
         return df.withColumns({f"k{a}": F.expr(f"shiftright(c{a}, level)") for a in axes})
 
-    occupied = spots.select(*own).distinct()
-    candidates = at(F.explode(F.sequence(F.lit(0), F.lit(top))), occupied)
-    seen = candidates.join(reach.select(*keys).distinct(), keys, "left_semi")
-    first = seen.groupBy(*own).agg(F.min("level").alias("found"))
-    search = spots.join(first, own).withColumn("level", F.least(F.col("found") + 2, F.lit(top)))
-    pairs = at("level", search).join(reach, keys)
+    levels = F.explode(F.sequence(F.lit(0), F.lit(top)))
+
+    # Every station is entered, at each level, in the 27 cells it can be seen from.
+    reach = at_level(with_cell(located).withColumn("level", levels))
+    for a in axes:
+        step = F.explode(F.array(*[F.lit(d) for d in (-1, 0, 1)]))
+        reach = reach.withColumn("_d", step).withColumn(f"k{a}", F.col(f"k{a}") + F.col("_d"))
+    reach = reach.select(*keys, "name", *axes, F.col("_a").alias("_sa"), F.col("_o").alias("_so"))
+
+    spots = with_cell(_on_sphere(points.select("lat", "lng").distinct()))
+    spots = spots.select("lat", "lng", "_a", "_o", *own)
+    cells = spots.select(*own).distinct()
+    seen = at_level(cells.withColumn("level", levels)).join(
+        reach.select(*keys).distinct(), keys, "left_semi"
+    )
+    search = seen.groupBy(*own).agg(F.least(F.min("level") + 2, F.lit(top)).alias("level"))
+
+    away = F.lit(0.0)
+    for a in axes:
+        gap = (F.col(f"c{a}") + 0.5) * edge - 1 - F.col(a)
+        away = away + gap * gap
+    around = at_level(search).join(reach, keys).withColumn("_away", F.sqrt(away))
+    closest = around.groupBy(*own).agg(F.min("_away").alias("_least"))
+    # A cell's centre is sqrt(3)/2 edges from its corners; the margin covers rounding.
+    limit = (F.col("_least") + math.sqrt(3) * edge) * (1 + 1e-9) + 1e-12
+    rivals = around.join(closest, own).where(F.col("_away") <= limit)
+    pairs = spots.join(rivals.select(*own, "name", "_sa", "_so"), own)
     h = _half_chord(F.col("_a"), F.col("_o"), F.col("_sa"), F.col("_so"))
     return pairs.groupBy("lat", "lng").agg(
         F.min(F.struct(h.alias("h"), F.col("name").alias("name"))).alias("_near")
