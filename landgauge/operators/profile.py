@@ -20,10 +20,13 @@ def exact_quantiles(
     bracket and ranks only the distinct values inside, so no task ever holds a whole column.
     """
     values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    slack = 3.0 / accuracy
+    # Sketch error on both sides plus the two ranks that interpolation needs; short columns, for
+    # which two ranks are a larger share, are bracketed whole.
+    slack = 5.0 / accuracy
     edges = [min(1.0, max(0.0, p + s)) for p in probs for s in (-slack, slack)]
     sketch = values.agg(
         *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
+        *[F.struct(F.min(c), F.max(c)).alias(f"m{i}") for i, c in enumerate(columns)],
         *[
             F.percentile_approx(c, F.array(*[F.lit(e) for e in edges]), F.lit(accuracy)).alias(f"q{i}")
             for i, c in enumerate(columns)
@@ -36,7 +39,7 @@ def exact_quantiles(
         if n == 0:
             continue
         for j, p in enumerate(probs):
-            low, high = sketch[f"q{i}"][2 * j : 2 * j + 2]
+            low, high = sketch[f"q{i}"][2 * j : 2 * j + 2] if n > accuracy else sketch[f"m{i}"]
             rank = p * (n - 1)
             brackets.append((i, j, c, float(p), low, high, int(rank), rank - int(rank), n))
     spark = df.sparkSession
