@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landgauge.session import shared_folder
+from landgauge.session import shared_folder, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,8 +25,13 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+# Tables whose rows get much work after the scan, with a key of many values.
+LARGE = {"lineitem": "l_orderkey", "orders": "o_orderkey", "documents": "doc_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(scan, LARGE[name]) if name in LARGE else scan
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from landgauge.constants import ELEVATOR_YEAR
 from landgauge.functions import parsing as P
-from landgauge.operators.profile import exact_quantiles
+from landgauge.operators.profile import counted_quantiles
 from landgauge.session import measured
 
 
@@ -39,12 +39,10 @@ def median_fill(
     filled = grouped.withColumns(
         {c: F.coalesce(F.col(c), F.col(f"_median_{c}")) for c in columns}
     ).drop(*medians)
-    overall = exact_quantiles(filled, columns, [0.5])
+    found = counted_quantiles(filled, columns, [0.5]).collect()
+    overall = {r["column"]: r["value"] for r in found}
     return filled.withColumns(
-        {
-            c: F.coalesce(F.col(c), overall.where(F.col("column") == c).select("value").scalar())
-            for c in columns
-        }
+        {c: F.coalesce(F.col(c), F.lit(overall.get(c))) for c in columns}
     ).select(*df.columns)
 
 

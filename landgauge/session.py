@@ -58,3 +58,13 @@ def measured(df: DataFrame) -> DataFrame:
     kept = df.persist()
     kept.count()
     return kept
+
+
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Deal out a table scan that comes in fewer splits than there are cores.
+
+    A file with a single row group is one split, however much work follows the scan. ``key`` is
+    a column of many values. Tables of many splits, as on a cluster, are returned as they are.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan

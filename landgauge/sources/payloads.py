@@ -64,9 +64,13 @@ def parse_trade_answers(df: DataFrame, payload: str = "payload") -> DataFrame:
 
 
 def trade_rows(answers: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """One row per trade of the accepted answers; missing nodes become ''."""
+    """One row per trade of the accepted answers; missing nodes become ''.
+
+    Only accepted answers hold items. The outer explode keeps the planner from parsing an answer once
+    more in a guarding filter.
+    """
     kept = [F.col(c) for c in keep or []]
-    rows = answers.where(F.col("status") == OK).select(*kept, F.explode("items").alias("t"))
+    rows = answers.select(*kept, F.explode_outer("items").alias("t")).where(F.col("t").isNotNull())
     fields = [F.coalesce(F.trim(F.col(f"t.{c}")), F.lit("")).alias(c) for c in TRADE_COLUMNS]
     return rows.select(*kept, *fields)
 
@@ -163,10 +167,10 @@ def legal_dong_codes(df: DataFrame, sgg: str = "sgg", payload: str = "payload")
     """(sgg, dong name) -> five-digit dong code; the highest code wins for a repeated name."""
     entries = df.select(
         F.col(sgg).alias("sgg"),
-        F.explode(F.from_json(F.col(payload), REGION_CODES)["regcodes"]).alias("r"),
+        F.explode_outer(F.from_json(F.col(payload), REGION_CODES)["regcodes"]).alias("r"),
     )
     return (
-        entries.where(P.token_count("r.name") >= 2)
+        entries.where(F.col("r").isNotNull() & (P.token_count("r.name") >= 2))
         .select(
             "sgg",
             P.last_token("r.name").alias("umdNm"),

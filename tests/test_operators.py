@@ -163,6 +163,8 @@ def test_exact_quantiles(spark, accuracy):
         assert got["a", p] == pytest.approx(np.percentile(x, p * 100))
         assert got["b", p] == pytest.approx(np.percentile(x[x <= 1], p * 100))
     assert profile.exact_quantiles(df.where("a > 99"), ["a"], [0.5]).count() == 0
+    counted = {(r.column, r.prob): r.value for r in profile.counted_quantiles(df, ["a", "b"], probs).collect()}
+    assert counted == pytest.approx(got)
 
 
 def test_column_profile(spark):
