@@ -227,3 +227,20 @@ def purge_retryable(spark, sf):
     )
     answers = table(spark, sf, "events").select("event_id", text.alias("err"))
     return lookups.purge_retryable(answers, "err")
+
+
+@query(
+    "st2_purge_by_text",
+    """SELECT event_id, err FROM (SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'address_not_found'
+         WHEN 1 THEN 'api_error_400' WHEN 2 THEN 'EXCEPTION_CONN: winerror ' || event_type END AS err FROM events)
+       WHERE err IS NULL OR err = 'address_not_found'""",
+)
+def purge_by_text(spark, sf):
+    e = F.col("event_id") % 4
+    text = (
+        F.when(e == 0, "address_not_found")
+        .when(e == 1, "api_error_400")
+        .when(e == 2, F.concat(F.lit("EXCEPTION_CONN: winerror "), F.col("event_type")))
+    )
+    answers = table(spark, sf, "events").select("event_id", text.alias("err"))
+    return lookups.purge_by_text(answers, "err")

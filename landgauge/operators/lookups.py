@@ -14,7 +14,12 @@ from landgauge.constants import (
     GEO_KEYS,
 )
 from landgauge.functions import parsing as P
-from landgauge.operators.filters import blank_where_error, complete_on, drop_present
+from landgauge.operators.filters import (
+    blank_where_error,
+    complete_on,
+    drop_matching,
+    drop_present,
+)
 
 
 def distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -97,7 +102,7 @@ def approval_date_fallback(df: DataFrame) -> DataFrame:
 
 # Error codes that asking again cannot change.
 PERMANENT_ERRORS = ("ADDRESS_NOT_FOUND", "EXCEPTION_PARSE")
-# Fixed value: error texts purged by the original clean-up rule.
+# Fixed value: error texts that the text rule purges.
 TRANSIENT_PATTERN = (
     "EXCEPTION_ADDR|WinError|Connection|API_ERROR_400|ADDR_API_ERROR_400|API_FORBIDDEN_401"
 )
@@ -114,3 +119,8 @@ def classify_errors(answers: DataFrame, error: str = "error") -> DataFrame:
 def purge_retryable(answers: DataFrame, error: str = "error") -> DataFrame:
     """Drop answers that should be asked for again; successes and permanent failures stay."""
     return classify_errors(answers, error).where(~F.col("retryable")).drop("retryable")
+
+
+def purge_by_text(answers: DataFrame, error: str = "error") -> DataFrame:
+    """The narrower text rule: drop only errors that match the known transient texts."""
+    return drop_matching(answers, error, TRANSIENT_PATTERN)
