@@ -22,7 +22,7 @@ def strict_long(c: ColumnLike) -> Column:
 def lenient_double(c: ColumnLike) -> Column:
     """Number with or without separators; anything else, NaN included, becomes null."""
     parsed = F.replace(_col(c).cast("string"), F.lit(","), F.lit("")).try_cast("double")
-    return F.when(~F.isnan(parsed), parsed)
+    return F.nanvl(parsed, F.lit(None).cast("double"))
 
 
 def int_or_zero(c: ColumnLike) -> Column:
