@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from landgauge.llm.common import read
+from landgauge.llm.common import crc_remainder, read
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -43,3 +43,50 @@ def token_counts(spark, sf):
     limit = 4096
     counted = token_counts(read(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit)
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
+
+
+@query(
+    "op10_line_dedup",
+    """
+    WITH lines AS (
+        SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
+    ), keyed AS (
+        SELECT doc_id, i, line,
+               translate(trim(line, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '),
+                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+        FROM lines
+    ), common AS (
+        SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 20
+        GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+    ), marked AS (
+        SELECT k.doc_id, k.i, k.line, c.key IS NOT NULL AND c.last <> k.doc_id AS dropped
+        FROM keyed k LEFT JOIN common c ON k.key = c.key
+    )
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
+    FROM marked GROUP BY doc_id
+    """,
+)
+def line_dedup(spark, sf):
+    from landgauge.llm.line_filter import drop_lines
+
+    kept = drop_lines(read(spark, sf, "documents"), min_chars=20, min_docs=3)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op3_toxicity")
+def toxicity(spark, sf):
+    from landgauge.llm.toxicity import toxicity_scores
+
+    scored = toxicity_scores(read(spark, sf, "documents"), read(spark, sf, "labels"), folds=4, held_out=2)
+    held = (crc_remainder("doc_id", 4) == 2).alias("held_out")
+    return scored.select("doc_id", held, "score", "predicted", "offending")
+
+
+@query("op4_quality")
+def quality(spark, sf):
+    from landgauge.llm.quality import quality_scores
+
+    scored = quality_scores(read(spark, sf, "documents"), read(spark, sf, "labels"), folds=5, held_out=0)
+    return scored.select("doc_id", (crc_remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
