@@ -15,7 +15,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from landgauge.llm import bytesops as B
 from landgauge.llm.common import lists, mapped, pieces, table, utf8
@@ -161,7 +161,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, *
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(fit_quality(docs, labels, **fit))  # of fixed size
     docs = docs.drop("score", "predicted")
-    schema = docs.schema.add("score", "double").add("predicted", "int")
+    added = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
+    schema = T.StructType([*docs.schema.fields, *added])
 
     def score(batches):
         fm = model.value

@@ -90,3 +90,74 @@ def quality(spark, sf):
 
     scored = quality_scores(read(spark, sf, "documents"), read(spark, sf, "labels"), folds=5, held_out=0)
     return scored.select("doc_id", (crc_remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
+@query(
+    "op1_source_mix",
+    """
+    WITH sized AS (
+        SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size FROM documents
+    ), summed AS (
+        SELECT source, sum(size)::BIGINT AS size FROM sized GROUP BY source
+    ), weighed AS (
+        SELECT source, size, (row_number() OVER (ORDER BY source NULLS LAST) - 1)::BIGINT AS place,
+               CASE WHEN source IS NULL THEN '~' ELSE '=' || source END AS key FROM summed
+    ), ordered AS (
+        SELECT *, place % 3 + 1 AS weight FROM weighed
+    ), filled AS (
+        SELECT *, (sum(size) OVER ())::BIGINT - 3 * coalesce((sum(size) OVER before)::BIGINT, 0) AS rest,
+               (sum(weight) OVER onward)::BIGINT AS left_weight
+        FROM ordered
+        WINDOW before AS (ORDER BY size / weight::DOUBLE, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+               onward AS (ORDER BY size / weight::DOUBLE, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+    ), level AS (
+        SELECT rest::DOUBLE AS rest, left_weight::DOUBLE AS left_weight FROM filled
+        WHERE rest::DOUBLE * weight / left_weight <= 3 * size ORDER BY size / weight::DOUBLE, place LIMIT 1
+    ), targets AS (
+        SELECT o.key, o.source, o.size AS source_size, place,
+               CASE WHEN rest * weight / left_weight > 3 * o.size THEN 3 * o.size::DOUBLE ELSE rest * weight / left_weight END AS target
+        FROM ordered o, level
+    ), lined AS (
+        SELECT s.doc_id, s.size, t.*, md5('1:' || coalesce(s.doc_id::VARCHAR, 'null')) AS digest FROM sized s JOIN targets t
+        ON s.source IS NOT DISTINCT FROM t.source
+    ), sharded AS (
+        SELECT *, ('0x' || substr(digest, 1, 15))::BIGINT % (1 + source_size // 1048576) AS shard FROM lined
+    ), shards AS (
+        SELECT key, place, target, shard, sum(size)::BIGINT AS shard_size, (3 * sum(size)::BIGINT) // 8 AS cap
+        FROM sharded GROUP BY key, place, target, shard
+    ), parties AS (
+        SELECT key, place, target, sum(cap)::BIGINT AS cap FROM shards GROUP BY key, place, target
+    ), won AS (
+        SELECT key, count(*) AS seats FROM (
+            SELECT key, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, place, k) AS rank
+            FROM (SELECT key, place, target, unnest(range(cap)) AS k FROM parties WHERE target > 0)
+        ) WHERE rank <= (SELECT (2 * sum(size)::BIGINT + 8) // 16 FROM summed) GROUP BY key
+    ), quotas AS (
+        SELECT s.key, s.shard, s.shard_size, coalesce(q.quota, 0) AS quota,
+               ('0x' || substr(md5('1:start:' || s.key || ':' || s.shard), 1, 15))::BIGINT
+                   % greatest(1, (s.shard_size + 7) // 8) * 8 AS first
+        FROM shards s LEFT JOIN (
+            SELECT r.key, r.shard, count(*) * 8 AS quota FROM (
+                SELECT key, shard, row_number() OVER (PARTITION BY key ORDER BY shard_size::DOUBLE / (2 * k + 1) DESC, shard, k) AS rank
+                FROM (SELECT key, shard, shard_size, unnest(range(cap)) AS k FROM shards WHERE shard_size > 0)
+            ) r JOIN won USING (key) WHERE rank <= seats GROUP BY r.key, r.shard
+        ) q ON s.key = q.key AND s.shard = q.shard
+    ), placed AS (
+        SELECT l.*, q.shard_size, q.quota, q.first, (sum(size) OVER line)::BIGINT AS stop,
+               CASE WHEN q.shard_size > 0 THEN q.quota // q.shard_size ELSE 0 END AS laps
+        FROM sharded l JOIN quotas q ON l.key = q.key AND l.shard = q.shard
+        WINDOW line AS (PARTITION BY l.key, l.shard ORDER BY digest, doc_id, size ROWS UNBOUNDED PRECEDING)
+    ), ran AS (
+        SELECT *, stop - size AS start, first + quota - laps * shard_size AS run_end FROM placed
+    )
+    SELECT doc_id, source, size, source_size, target, laps::BIGINT AS laps,
+           (laps * size + CASE WHEN size = 0 THEN 0 ELSE
+               greatest(0, least(stop, least(run_end, shard_size)) - greatest(start, first))
+               + greatest(0, least(stop, run_end - shard_size) - greatest(start, 0)) END)::BIGINT AS taken
+    FROM ran
+    """,
+)
+def source_mix(spark, sf):
+    from landgauge.llm.mixing import mix
+
+    return mix(read(spark, sf, "documents"))

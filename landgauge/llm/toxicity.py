@@ -65,16 +65,23 @@ class NoisyOr:
         return -np.expm1(none), p, at, row
 
     @classmethod
-    def fit(cls, ids, sentence, bag, y, epochs: int = 150, rate: float = 0.25, decay: float = 2e-4):
+    def fit(cls, ids, sentence, bag, y, epochs: int = 100, rate: float = 0.05, decay: float = 1e-2):
         """ids: features of all words; sentence: of each word; bag: document of each sentence."""
         size = 1 << BITS
         pairs = np.unique(bag[np.repeat(sentence, ids.shape[1])].astype(np.int64) << BITS | ids.ravel())
-        seen = np.bincount(pairs & (size - 1), minlength=size) >= SEEN
+        documents = np.bincount(pairs & (size - 1), minlength=size)
+        toxic = np.bincount((pairs & (size - 1))[y[pairs >> BITS] > 0], minlength=size)
+        seen = documents >= SEEN
         flat, owner = ids.ravel(), np.repeat(sentence, ids.shape[1])
         used = seen[flat]
         names, flat = np.unique(flat[used], return_inverse=True)
         owner = owner[used]
-        w, bias = np.zeros(len(names)), -6.0
+        # The start: features that toxic documents have clearly more often get their log-odds, shared by the word's kinds.
+        share = y.mean()
+        n, n1 = documents[names], toxic[names]
+        odds = np.log((n1 + 0.5) / (n - n1 + 0.5)) - np.log((share + 1e-9) / (1 - share + 1e-9))
+        clear = n1 - n * share > 3 * np.sqrt(n * share * (1 - share) + 1)
+        w, bias = np.where(clear, np.maximum(odds, 0), 0.0) / 2, -6.0
         m, v = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
         for step in range(1, epochs + 1):
             raw = np.bincount(owner, weights=w[flat], minlength=len(bag)) + bias
