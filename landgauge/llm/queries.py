@@ -161,3 +161,42 @@ def source_mix(spark, sf):
     from landgauge.llm.mixing import mix
 
     return mix(read(spark, sf, "documents"))
+
+
+@query(
+    "op6_decontamination",
+    """
+    WITH d AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+    ), i AS (
+        SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark
+    ), iw AS (
+        SELECT DISTINCT item_id, l, array_to_string(w[p:p + l - 1], ' ') AS win
+        FROM (SELECT item_id, w, least(10, len(w)) AS l, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS p FROM i WHERE len(w) > 0)
+    ), dw AS (
+        SELECT doc_id, p, l, array_to_string(w[p:p + l - 1], ' ') AS win
+        FROM (SELECT doc_id, w, l, unnest(range(1, len(w) - l + 2)) AS p FROM d, (SELECT DISTINCT l FROM iw) WHERE len(w) >= l)
+    ), hits AS (
+        SELECT doc_id, p, l, item_id FROM dw JOIN iw USING (win, l)
+    ), hit_words AS (
+        SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + l)) AS q FROM hits) GROUP BY doc_id
+    ), hit_items AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+    )
+    SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+    """,
+)
+def decontamination(spark, sf):
+    from landgauge.llm.fm_index import contamination
+
+    found = contamination(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+    named = F.array_join(F.array_sort("items"), ",")
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(named, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
