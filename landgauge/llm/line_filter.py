@@ -24,8 +24,8 @@ from landgauge.llm.common import lists, mapped, pieces, stored, table, texts, ut
 
 FIRST = -9223372036854775808
 #: Distinct hashes in a shard at most (on average), and probes that one copy of a shard answers.
-SHARD_KEYS = 200_000
-COPY_PROBES = 500_000
+SHARD_KEYS = 100_000
+COPY_PROBES = 100_000
 
 
 def line_bounds(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

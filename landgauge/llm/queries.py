@@ -200,3 +200,10 @@ def decontamination(spark, sf):
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(named, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query("op8_near_dedup")
+def near_dedup(spark, sf):
+    from landgauge.llm.superminhash import near_duplicates
+
+    return near_duplicates(read(spark, sf, "documents"), width=4, percent=80)
