@@ -207,3 +207,11 @@ def near_dedup(spark, sf):
     from landgauge.llm.superminhash import near_duplicates
 
     return near_duplicates(read(spark, sf, "documents"), width=4, percent=80)
+
+
+@query("op7_repeated_passages")
+def repeated_passages(spark, sf):
+    from landgauge.llm.prefix_free import remove_repeats
+
+    cut = remove_repeats(read(spark, sf, "documents"), window=100)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
