@@ -215,3 +215,15 @@ def repeated_passages(spark, sf):
 
     cut = remove_repeats(read(spark, sf, "documents"), window=100)
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op5_language_model")
+def language_model(spark, sf):
+    import public_tokenizers
+
+    from landgauge.llm.attention_lm import language_scores
+
+    held = crc_remainder("doc_id", 5) == 1
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    scored = language_scores(read(spark, sf, "documents"), held, vocabulary, public_tokenizers.PATTERN)
+    return scored.withColumn("held_out", held)
