@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landgauge.llm import bytesops as B
-from landgauge.llm.common import lists, mapped, pieces, table, utf8
+from landgauge.llm.common import lists, mapped, pieces, table, texts, utf8
 
 BLOCK_BYTES = 8 << 20
 SAMPLE = 8
@@ -195,71 +195,61 @@ def blocks_of(benchmark: DataFrame, width: int) -> list:
     return out
 
 
-HITS = "doc_id long, n_words long, n_hit long, starts array<int>, ends array<int>, items array<string>"
+def search(b: pa.RecordBatch, blocks: list):
+    """Of each row of a batch: words, words hit, merged spans (flat, and how many), names of the items found."""
+    hashes, starts, ends, row = words(b.column("text"))
+    _, offsets = utf8(b.column("text"))
+    n = b.num_rows
+    hit = np.zeros(len(hashes), bool)
+    items: list[set[str]] = [set() for _ in range(n)]
+    for block in blocks:
+        w = block.value
+        if not w.groups:
+            continue
+        for place, length, group, which in occurrences(w.numbers(hashes), row, w):
+            hit |= B.covered(place, place + length, len(hit))
+            patterns, first, owner = w.groups[group]
+            pairs = np.unique(row[place].astype(np.int64) * len(patterns) + which)
+            for r, k in zip(*np.divmod(pairs, len(patterns))):
+                items[r].update(w.items[i] for i in owner[first[k] : first[k + 1]])
+    by_row = np.searchsorted(row, np.arange(n + 1))
+    a, z = B.runs(hit, by_row)
+    spans = np.bincount(row[a], minlength=n)
+    return np.diff(by_row), np.bincount(row[hit], minlength=n), starts[a], ends[z - 1], spans, offsets, [sorted(s) for s in items]
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit (words in windows), starts and ends of the merged spans in bytes, items.
-
-    ``docs`` may bring a column ``text`` of any length; only it and ``doc_id`` are read.
-    """
-    found = search_columns(docs.select("doc_id", "text"), benchmark, width)
-    return found.drop("text")
-
-
-def search_columns(docs: DataFrame, benchmark: DataFrame, width: int) -> DataFrame:
-    """``docs`` (doc_id, text) with the columns of ``contamination``."""
+    """Per document: doc_id, n_words, n_hit (words in windows), starts and ends of the merged spans in bytes, items."""
     blocks = blocks_of(benchmark, width)
     kind = [
-        ("doc_id", pa.int64()), ("text", pa.string()), ("n_words", pa.int64()), ("n_hit", pa.int64()),
-        ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())), ("items", pa.list_(pa.string())),
+        ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("starts", pa.list_(pa.int32())),
+        ("ends", pa.list_(pa.int32())), ("items", pa.list_(pa.string())),
     ]
 
     def work(batches):
         for b in pieces(batches):
-            hashes, starts, ends, row = words(b.column("text"))
-            _, offsets = utf8(b.column("text"))
-            n = b.num_rows
-            hit = np.zeros(len(hashes), bool)
-            items: list[set[str]] = [set() for _ in range(n)]
-            for block in blocks:
-                w = block.value
-                if not w.groups:
-                    continue
-                for place, length, group, which in occurrences(w.numbers(hashes), row, w):
-                    hit |= B.covered(place, place + length, len(hit))
-                    _, first, owner = w.groups[group]
-                    pairs = np.unique(row[place].astype(np.int64) * len(w.groups[group][0]) + which)
-                    for r, k in zip(*np.divmod(pairs, len(w.groups[group][0]))):
-                        items[r].update(w.items[i] for i in owner[first[k] : first[k + 1]])
-            by_row = np.searchsorted(row, np.arange(n + 1))
-            a, z = B.runs(hit, by_row)
-            spans = np.bincount(row[a], minlength=n)
-            begin = starts[a] - offsets[row[a]]
-            stop = ends[z - 1] - offsets[row[a]]
-            yield table(
-                kind, b.column("doc_id"), b.column("text"), np.diff(by_row), np.bincount(row[hit], minlength=n),
-                lists(begin.astype(np.int32), spans, pa.int32()), lists(stop.astype(np.int32), spans, pa.int32()),
-                [sorted(s) for s in items],
-            )
-
-    return mapped(docs, work, HITS.replace("doc_id long,", "doc_id long, text string,"))
+            n_words, n_hit, starts, ends, spans, offsets, items = search(b, blocks)
+            base = np.repeat(offsets[:-1], spans)
+            places = (lists((x - base).astype(np.int32), spans, pa.int32()) for x in (starts, ends))
+            yield table(kind, b.column("doc_id"), n_words, n_hit, *places, items)
 
+    schema = "doc_id long, n_words long, n_hit long, starts array<int>, ends array<int>, items array<string>"
+    return mapped(docs.select("doc_id", "text"), work, schema)
 
-def without_spans(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
-    """Per document: doc_id, text less the spans of benchmark windows."""
-    from landgauge.llm.common import texts
 
-    kind = [("doc_id", pa.int64()), ("text", pa.string())]
+def without_spans(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
+    """``docs`` with the spans of benchmark windows cut out of the texts; all other columns stay."""
+    blocks = blocks_of(benchmark, width)
+    schema = docs.schema
 
     def cut(batches):
-        for b in batches:
-            buf, offsets = utf8(b.column("text"))
-            counts = b.column("starts").value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-            base = np.repeat(offsets[:-1], counts)
-            flat = lambda c: b.column(c).flatten().to_numpy().astype(np.int64) + base
-            keep = ~B.covered(flat("starts"), flat("ends"), len(buf))
+        for b in pieces(batches):
+            _, _, starts, ends, _, offsets, _ = search(b, blocks)
+            buf, _ = utf8(b.column("text"))
+            keep = ~B.covered(starts, ends, len(buf))
             left = np.concatenate([[0], np.cumsum(keep)])[offsets]
-            yield table(kind, b.column("doc_id"), texts(buf[keep], left))
+            text = texts(buf[keep], left)
+            columns = [text if f.name == "text" else b.column(f.name) for f in schema.fields]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return mapped(search_columns(docs.select("doc_id", "text"), benchmark, width), cut, "doc_id long, text string")
+    return mapped(docs, cut, schema)

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from landgauge.llm import bytesops as B
 from landgauge.llm.common import lists, mapped, pieces, stored, table, texts, utf8
@@ -230,10 +231,14 @@ def lines_to_drop(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
     return stored(hits.groupBy("doc_id", "mark").agg(F.collect_set("line").alias("lines")), "line-hits")
 
 
-def drop_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """Per document: doc_id, n_lines (before), n_dropped, text (what stays, lines joined by a line feed)."""
+def drop_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, names=("n_lines", "n_dropped")) -> DataFrame:
+    """``docs`` with the text that stays (lines joined by a line feed), and under ``names`` the numbers of lines before
+    and dropped (their own columns of these names go)."""
     hits = lines_to_drop(docs, min_chars, min_docs)
-    kind = [("doc_id", pa.int64()), ("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("text", pa.string())]
+    docs = docs.drop(*names)
+    added = [T.StructField(n, T.LongType()) for n in names]
+    own = docs.schema.names
+    schema = T.StructType([*docs.schema.fields, *added])
 
     def cut(batches):
         for b in pieces(batches, 8 << 20):
@@ -243,8 +248,8 @@ def drop_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataF
             first = np.searchsorted(row, np.arange(rows))
             n_lines = np.bincount(row, minlength=rows)
             dropped = np.zeros(len(row), bool)
-            marks = b.column("lines")
-            counts = np.nan_to_num(marks.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).astype(np.int64)
+            marks = b.column("__lines")
+            counts = marks.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             dropped[np.repeat(first, counts) + marks.flatten().to_numpy().astype(np.int64)] = True
             keep = np.flatnonzero(~dropped)
             # A kept line takes its bytes and, but for the last one kept of its text, a line feed.
@@ -255,9 +260,11 @@ def drop_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataF
             out[B.ranges(at, size)] = buf[B.ranges(starts[keep], size)]
             out[(at + size)[feed]] = 10
             total = np.bincount(row[keep], weights=size + feed, minlength=rows).astype(np.int64)
-            new = np.concatenate([[0], np.cumsum(total)])
-            yield table(kind, b.column("doc_id"), n_lines, np.bincount(row[dropped], minlength=rows), texts(out, new))
-
-    ids = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(FIRST)).alias("id"), F.xxhash64("text").alias("mark"))
-    joined = ids.join(hits.withColumnRenamed("doc_id", "id"), ["id", "mark"], "left").select("doc_id", "text", "lines")
-    return mapped(joined, cut, "doc_id long, n_lines long, n_dropped long, text string")
+            kept = texts(out, np.concatenate([[0], np.cumsum(total)]))
+            columns = [kept if c == "text" else b.column(c) for c in own]
+            columns += [pa.array(n_lines), pa.array(np.bincount(row[dropped], minlength=rows))]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    keyed = docs.withColumn("__id", F.coalesce("doc_id", F.lit(FIRST))).withColumn("__mark", F.xxhash64("text"))
+    hits = hits.toDF("__id", "__mark", "__lines")
+    return mapped(keyed.join(hits, ["__id", "__mark"], "left").select(*docs.columns, "__lines"), cut, schema)

@@ -156,19 +156,19 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", fold
     )
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **fit) -> DataFrame:
-    """``docs`` as they are, with the columns score and predicted added at the end (their own of these names go)."""
+def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, names=("score", "predicted"), **fit) -> DataFrame:
+    """``docs`` as they are, with score and predicted added at the end under ``names`` (their own of these names go)."""
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(fit_quality(docs, labels, **fit))  # of fixed size
-    docs = docs.drop("score", "predicted")
-    added = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
+    docs = docs.drop(*names)
+    added = [T.StructField(names[0], T.DoubleType()), T.StructField(names[1], T.IntegerType())]
     schema = T.StructType([*docs.schema.fields, *added])
 
     def score(batches):
         fm = model.value
         for b in pieces(batches):
             s = fm.scores(b) if fm is not None else np.full(b.num_rows, 0.5)
-            names = [*b.schema.names, "score", "predicted"]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=names)
+            columns = [*b.columns, pa.array(s), pa.array((s >= threshold).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*b.schema.names, *names])
 
     return mapped(docs, score, schema)

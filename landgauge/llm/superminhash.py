@@ -4,9 +4,10 @@
   fraction to its k-th slot; a slot keeps its smallest offer. The ranks of an element are correlated (each slot once), so
   the estimate varies less than with independent hashes. A document stops at the first step that can't lower any slot.
 * Documents with the same set are one class from the start, however many they are.
-* Classes meet in bands of the signature. In each bucket all are compared with its smallest, and after that only with
-  members that are still in another component, until no such pair is left. So tight groups of any size cost one
-  comparison per member and band at most, and no link is given up.
+* Classes meet in bands of the signature. In each bucket all are compared with one of them, first with the one that meets most
+  others (the original of many copies), then with another, some rounds long; those that are in one component by then need no
+  more. All pairs of a bucket that are still in different components are compared in the end. So tight
+  groups of any size cost a few comparisons per member, and no link is given up.
 * A pair is a link if the Jaccard similarity of the full sets of shingles is at least the threshold. Labels of connected
   documents are found by stars in Spark.
 
@@ -26,6 +27,8 @@ from landgauge.llm.common import lists, mapped, pieces, stored, table, utf8
 from landgauge.llm.components import components
 
 LAST = 9223372036854775807
+#: Rounds in which buckets are compared with one member each, before the rest is compared in full.
+STAR_ROUNDS = 4
 
 
 def shingle_sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -130,7 +133,6 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
 
 def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (u, v) that are links, compared on their full sets."""
-    pairs = stored(pairs.distinct(), "pairs")
     needed = stored(pairs.select("u").union(pairs.select("v")).distinct().toDF("id"), "pair-ids")
     sets = stored(full_sets(docs.join(needed, "id"), width), "sets")
     second = pairs.join(sets.toDF("v", "b"), "v")
@@ -149,30 +151,48 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     classes = stored(found.where(F.col("n_shingles") > 0).groupBy(*same).agg(F.min("id").alias("head")), "classes")
     heads = found.join(classes, same).where(F.col("id") == F.col("head")).select("id", "n_shingles", F.explode("bands").alias("band"))
     members = heads.distinct()
-    crowded = members.groupBy("band").agg(F.count("*").alias("n"), F.min("id").alias("low")).where(F.col("n") > 1)
-    members = stored(members.join(crowded.select("band", "low"), "band"), "members")
+    crowded = members.groupBy("band").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    members = stored(members.join(crowded, "band"), "members")
+    # In how many places a class meets others: the original of many copies comes first.
+    met = members.groupBy("id").agg(F.sum("n").alias("met"))
+    members = stored(members.drop("n").join(met, "id"), "members")
     sizes = members.select("id", "n_shingles").distinct()
+    none = members.select(F.col("id").alias("u"), F.col("id").alias("v")).limit(0)
+    done, labels = none, none.toDF("id", "label")
+    open_rows = members.withColumn("label", F.col("id"))
 
     def likely(pairs: DataFrame) -> DataFrame:
-        """Pairs whose sizes leave the similarity possible."""
+        """New pairs whose sizes leave the similarity possible."""
         left = sizes.select(F.col("id").alias("u"), F.col("n_shingles").alias("nu"))
         right = sizes.select(F.col("id").alias("v"), F.col("n_shingles").alias("nv"))
-        joined = pairs.distinct().join(left, "u").join(right, "v")
+        pairs = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+        joined = pairs.join(done, ["u", "v"], "left_anti").join(left, "u").join(right, "v")
         return joined.where(100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv")).select("u", "v")
 
-    stars = members.where(F.col("id") != F.col("low")).select(F.col("id").alias("u"), F.col("low").alias("v"))
-    links = stored(verified(likely(stars), docs, width, percent), "links")
-    labels = components(links)
-    # What shares a bucket and is not connected yet is compared in full.
-    labelled = members.join(labels, "id", "left").select("band", "id", "low", F.coalesce("label", "id").alias("label"))
-    mixed = labelled.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b")).where(F.col("a") != F.col("b"))
-    open_rows = stored(labelled.join(mixed.select("band"), "band"), "open")
-    one = open_rows.select("band", F.col("id").alias("u"), F.col("label").alias("lu"), "low")
-    two = open_rows.select("band", F.col("id").alias("v"), F.col("label").alias("lv"))
-    rest = one.join(two, "band").where((F.col("u") > F.col("v")) & (F.col("lu") != F.col("lv")) & (F.col("v") != F.col("low")))
-    more = stored(verified(likely(rest.select("u", "v")), docs, width, percent), "links")
-    if not more.isEmpty():
-        labels = components(links.unionByName(more))
+    turn = 0
+    while True:
+        if turn < STAR_ROUNDS:
+            # All members of a bucket meet one of them, another one each round.
+            rank = F.struct("met", -F.col("id")) if turn == 0 else F.struct(F.xxhash64("id", "band", F.lit(turn)), F.col("id"))
+            centre = open_rows.groupBy("band").agg(F.max_by(F.struct("id", "label"), rank).alias("centre"))
+            met_now = open_rows.join(centre, "band").where(F.col("label") != F.col("centre.label"))
+            pairs = met_now.select(F.col("id").alias("u"), F.col("centre.id").alias("v"))
+        else:
+            # What still is in different components meets in full.
+            one = open_rows.select("band", F.col("id").alias("u"), F.col("label").alias("lu"))
+            two = open_rows.select("band", F.col("id").alias("v"), F.col("label").alias("lv"))
+            pairs = one.join(two, "band").where((F.col("u") > F.col("v")) & (F.col("lu") != F.col("lv"))).select("u", "v")
+        pairs = stored(likely(pairs), "pairs")
+        new = stored(verified(pairs, docs, width, percent), "links")
+        if not new.isEmpty():
+            labels = components(labels.toDF("u", "v").unionByName(new))
+        if turn == STAR_ROUNDS:
+            break
+        done = done.unionByName(pairs)
+        labelled = members.join(labels, "id", "left").select("band", "id", "met", F.coalesce("label", "id").alias("label"))
+        mixed = labelled.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b")).where(F.col("a") != F.col("b"))
+        open_rows = stored(labelled.join(mixed.select("band"), "band"), "open")
+        turn += 1
     named = classes.join(labels.withColumnRenamed("id", "head"), "head", "left")
     named = named.select(*same, F.coalesce("label", "head").alias("component"))
     result = found.join(named, same, "left").withColumn("component", F.coalesce("component", "id"))
