@@ -4,7 +4,7 @@ A document is a bag of sentences. Each sentence gets a probability (logistic, ov
 beginnings), and a document's is the noisy-or of its sentences': it is toxic unless none of them is. Only
 document labels are needed for training; afterwards the sentences that carry the probability are the offending ones.
 
-The weights are fitted on the driver on at most ``limit`` labelled rows (8,192 unless told otherwise), over features
+The weights are fitted on the driver on at most ``limit`` labelled rows (4,096 unless told otherwise), over features
 that at least ``SEEN`` training documents have. Every document is scored whole. A text without words scores 0. Without
 any labelled row all scores are 0.
 """
@@ -68,14 +68,19 @@ class NoisyOr:
     def fit(cls, ids, sentence, bag, y, epochs: int = 100, rate: float = 0.05, decay: float = 1e-2):
         """ids: features of all words; sentence: of each word; bag: document of each sentence."""
         size = 1 << BITS
-        pairs = np.unique(bag[np.repeat(sentence, ids.shape[1])].astype(np.int64) << BITS | ids.ravel())
-        documents = np.bincount(pairs & (size - 1), minlength=size)
-        toxic = np.bincount((pairs & (size - 1))[y[pairs >> BITS] > 0], minlength=size)
+        # One pass per kind of feature keeps the sorted pairs of document and feature small.
+        documents, toxic = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        seen_pairs = np.unique(np.concatenate([np.unique(bag[sentence] << BITS | ids[:, k]) for k in range(ids.shape[1])]))
+        documents += np.bincount(seen_pairs & (size - 1), minlength=size)
+        toxic += np.bincount((seen_pairs & (size - 1))[y[seen_pairs >> BITS] > 0], minlength=size)
+        del seen_pairs
         seen = documents >= SEEN
-        flat, owner = ids.ravel(), np.repeat(sentence, ids.shape[1])
-        used = seen[flat]
-        names, flat = np.unique(flat[used], return_inverse=True)
-        owner = owner[used]
+        names = np.flatnonzero(seen)
+        place = np.cumsum(seen, dtype=np.int32) - 1
+        used = [seen[ids[:, k]] for k in range(ids.shape[1])]
+        flat = np.concatenate([place[ids[u, k]] for k, u in enumerate(used)])
+        owner = np.concatenate([sentence[u].astype(np.int32) for u in used])
+        del used
         # The start: features that toxic documents have clearly more often get their log-odds, shared by the word's kinds.
         share = y.mean()
         n, n1 = documents[names], toxic[names]
@@ -100,7 +105,7 @@ class NoisyOr:
         return cls(weights, bias)
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 4, held_out: int = 2, limit: int = 8192):
+def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 4, held_out: int = 2, limit: int = 4096):
     rows = training_rows(docs.select("doc_id", "text"), labels, label, folds, held_out, limit)
     kind = [("y", pa.int32()), ("ids", pa.list_(pa.int32())), ("sentence", pa.list_(pa.int32())), ("sentences", pa.int32())]
 
@@ -123,6 +128,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds
     words = flat["sentence"].value_lengths().to_numpy()
     sentence = flat["sentence"].flatten().to_numpy() + np.repeat(np.cumsum(n) - n, words)
     ids = flat["ids"].flatten().to_numpy().reshape(-1, 1 + len(BEGINNINGS))
+    del got
     return NoisyOr.fit(ids, sentence, np.repeat(np.arange(len(n)), n), flat["y"].to_numpy().astype(float))
 
 
