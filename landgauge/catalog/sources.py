@@ -84,8 +84,18 @@ def trade_answers(spark, sf):
         .otherwise("<header><resultCode>000</resultCode><resultMsg>OK</resultMsg></header>")
     )
     body = F.concat(F.lit("<body><items>"), "items", F.lit("</items></body>"))
-    payload = F.when(slot == 2, "service is down").otherwise(
-        F.concat(F.lit("<response>"), head, body, F.lit("</response>"))
+    whole = F.concat(F.lit("<response>"), head, body, F.lit("</response>"))
+    payload = (
+        F.when(slot == 2, "service is down")
+        .when(slot == 4, F.concat(F.lit("<response>"), head, F.lit("<body><items>"), "items", F.lit("<item>")))
+        .when(slot == 5, "<html><body>bad gateway</body></html>")
+        .when(
+            slot == 6,
+            "<OpenAPI_ServiceResponse><cmmMsgHeader><errMsg>SERVICE ERROR</errMsg><returnAuthMsg>LIMITED NUMBER OF SERVICE"
+            " REQUESTS EXCEEDS ERROR</returnAuthMsg><returnReasonCode>22</returnReasonCode></cmmMsgHeader></OpenAPI_ServiceResponse>",
+        )
+        .when(slot == 7, "<response><header><resultCode>000</resultCode></header></response>")
+        .otherwise(whole)
     )
     return per_order.select("l_orderkey", payload.alias("payload"))
 
@@ -93,7 +103,7 @@ def trade_answers(spark, sf):
 @query(
     "s5_trade_payload",
     f"""WITH {RAW_SQL} SELECT l_orderkey, "sggCd", jibun, "houseType", "excluUseAr", "dealYear", "dealMonth", "dealAmount",
-      coalesce(floor, '') AS floor, '' AS "umdNm", '' AS "rgstDate" FROM raw WHERE l_orderkey % 50 NOT IN (0, 1, 2)""",
+      coalesce(floor, '') AS floor, '' AS "umdNm", '' AS "rgstDate" FROM raw WHERE l_orderkey % 50 NOT IN (0, 1, 2, 4, 5, 6, 7)""",
 )
 def trade_payload(spark, sf):
     answers = payloads.parse_trade_answers(trade_answers(spark, sf))
@@ -106,8 +116,9 @@ def trade_payload(spark, sf):
 
 @query(
     "st3_trade_status",
-    """SELECT CASE l_orderkey % 50 WHEN 0 THEN 'quota' WHEN 1 THEN 'service_error' WHEN 2 THEN 'parse_error' ELSE 'ok' END AS status,
-         count(*) AS answers, CAST(sum(CASE WHEN l_orderkey % 50 IN (0, 1, 2) THEN 0 ELSE n END) AS BIGINT) AS items
+    """SELECT CASE WHEN l_orderkey % 50 IN (0, 6) THEN 'quota' WHEN l_orderkey % 50 = 1 THEN 'service_error'
+         WHEN l_orderkey % 50 IN (2, 4, 5, 7) THEN 'parse_error' ELSE 'ok' END AS status,
+         count(*) AS answers, CAST(sum(CASE WHEN l_orderkey % 50 IN (0, 1, 2, 4, 5, 6, 7) THEN 0 ELSE n END) AS BIGINT) AS items
        FROM (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) GROUP BY 1""",
 )
 def trade_status(spark, sf):
@@ -308,12 +319,12 @@ def saved_encoder(spark, sf):
 
 @query(
     "s16_metric_rows",
-    """SELECT count(*) AS rows, round(avg(o_totalprice), 4) AS mae FROM orders""",
+    """SELECT count(*) AS rows, round(avg(o_totalprice), 4) AS mean_price FROM orders""",
 )
 def metric_rows(spark, sf):
     path = scratch(spark, "s16")
     row = table(spark, sf, "orders").agg(
-        F.count(F.lit(1)).alias("rows"), F.round(F.avg("o_totalprice"), 4).alias("mae")
+        F.count(F.lit(1)).alias("rows"), F.round(F.avg("o_totalprice"), 4).alias("mean_price")
     )
     artifacts.write_metrics(row, path)
     return spark.read.parquet(path)

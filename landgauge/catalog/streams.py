@@ -26,7 +26,8 @@ def _land(answers, folder: str, wave: int) -> None:
        FROM customer WHERE c_custkey % 20 NOT IN (1, 2, 3, 4)""",
 )
 def resumed_ingest(spark, sf):
-    """Two waves of landed answers, taken in by three runs; the last one finds nothing new."""
+    """Two waves of landed answers, taken in by three runs; the last one finds nothing new. Then a new checkpoint over
+    the first wave alone: what it takes in again stands beside the older batches."""
     base = scratch(spark, "st1")
     landed, out, checkpoint = f"{base}/landed", f"{base}/out", f"{base}/checkpoint"
     answers = building_answers(spark, sf)
@@ -34,6 +35,7 @@ def resumed_ingest(spark, sf):
         _land(answers.where(F.col("c_custkey") % 2 == wave), landed, wave)
         ingest.ingest(spark, landed, SCHEMA, parse_building_answers, out, checkpoint)
     ingest.ingest(spark, landed, SCHEMA, parse_building_answers, out, checkpoint)
+    ingest.ingest(spark, f"{landed}/wave=0", SCHEMA, parse_building_answers, out, f"{base}/second")
     rows = ingest.results(spark, out, ["c_custkey"])
     return rows.select("c_custkey", F.col("batch_id").cast("long").alias("batch_id"), "status")
 

@@ -94,10 +94,11 @@ class RobustScaler:
         return cls({r["column"]: (r["center"], r["spread"]) for r in table.collect()})
 
 
-def one_hot_levels(train: DataFrame, column: str, max_levels: int = 500) -> list[str]:
-    """Sorted levels but for the first; each becomes a column, so very many are refused."""
-    found = train.select(column).dropna().distinct().limit(max_levels + 1).collect()
-    if len(found) > max_levels:
+def one_hot_levels(train: DataFrame, column: str, max_levels: int | None = None) -> list[str]:
+    """Sorted levels but for the first. Each becomes a column; with ``max_levels`` more of them are refused."""
+    levels = train.select(column).dropna().distinct()
+    found = (levels if max_levels is None else levels.limit(max_levels + 1)).collect()
+    if max_levels is not None and len(found) > max_levels:
         raise ValueError(f"{column} has more than {max_levels} levels; use a target encoding")
     return sorted(str(r[0]) for r in found)[1:]
 

@@ -48,11 +48,12 @@ def collection_tasks(regions: DataFrame, months: Column, done: DataFrame) -> Dat
 def newest_per_key(df: DataFrame, keys: list[str], sequence: list[str]) -> DataFrame:
     """Keep the last answer per key by an explicit sequence.
 
-    ``max_by`` combines on the map side, so a key asked very often costs no large group.
+    ``max_by`` combines on the map side, so a key asked very often costs no large group. Rows of equal sequence are
+    ordered by a hash of their content, so the winner is the same on every run.
     """
     rest = [c for c in df.columns if c not in keys]
     best = df.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), F.struct(*sequence)).alias("_newest")
+        F.max_by(F.struct(*rest), F.struct(*sequence, F.xxhash64(*rest))).alias("_newest")
     )
     return best.select(*keys, *[F.col(f"_newest.{c}").alias(c) for c in rest])
 

@@ -20,16 +20,16 @@ from landgauge.session import measured
 
 
 def typed_trades(raw: DataFrame) -> DataFrame:
-    """Text columns of raw trades as numbers, with Age and unit price."""
+    """Text columns of raw trades as numbers, with Age and unit price. A blank date part is null; a blank amount is an error."""
     numbers = {
         "sggCd": P.lenient_double("sggCd").cast("int"),
         "buildYear": P.lenient_double("buildYear").cast("int"),
         "excluUseAr": P.lenient_double("excluUseAr"),
         "landAr": P.lenient_double("landAr"),
         "floor": P.lenient_double("floor").cast("int"),
-        "dealYear": F.col("dealYear").cast("int"),
-        "dealMonth": F.col("dealMonth").cast("int"),
-        "dealDay": F.col("dealDay").cast("int"),
+        "dealYear": P.lenient_double("dealYear").cast("int"),
+        "dealMonth": P.lenient_double("dealMonth").cast("int"),
+        "dealDay": P.lenient_double("dealDay").cast("int"),
         "dealAmount": P.strict_long("dealAmount"),
     }
     typed = raw.withColumns(numbers)

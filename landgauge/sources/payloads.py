@@ -28,26 +28,35 @@ PARSE_ERROR = "parse_error"
 # Result codes that mean success, words that mean an exhausted quota.
 SUCCESS_CODES = ("00", "000")
 QUOTA_WORDS = ("LIMITED", "TRAFFIC")
+# The root of an answer, and of the envelope in which the gateway turns a request down.
+ANSWER_ROOT, GATEWAY_ROOT = "response", "OpenAPI_ServiceResponse"
 # Fixed value: rows asked for per request; a full answer may have been cut.
 REQUEST_ROWS = 9_999
 
 
-def _looks_like_xml(c: Column) -> Column:
-    return F.trim(c).rlike(r"(?s)^<.*>$")
+def _has_root(c: Column, name: str) -> Column:
+    """Whether a text is one whole element of this name, behind an XML declaration at most."""
+    return F.coalesce(c.rlike(rf"(?s)^\s*(<\?xml.*?\?>\s*)?<{name}[\s>].*</{name}>\s*$"), F.lit(False))
 
 
 def parse_trade_answers(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Add ``items`` (array of 20-field structs), ``status`` and ``item_count`` per answer.
 
-    An answer without a result code is accepted; text that is no XML is a parse error.
+    An answer without a result code is accepted if it has a body. Text that is cut off, malformed or of another root
+    is a parse error, so that it is asked again; the gateway's own envelope is an exhausted quota or a service error.
     """
     text = F.col(payload)
-    parsed = F.from_xml(text, TRADE_PAYLOAD.simpleString())
+    schema = T.StructType([*TRADE_PAYLOAD.fields, T.StructField("_broken", T.StringType())])
+    parsed = F.from_xml(text, schema.simpleString(), {"columnNameOfCorruptRecord": "_broken"})
     code = F.col("_answer.header.resultCode")
     message = F.col("_answer.header.resultMsg")
+    fine = code.isNull() | code.isin(*SUCCESS_CODES)
+    turned_down = F.regexp_extract(text, r"(?s)<cmmMsgHeader>(.*)</cmmMsgHeader>", 1)
     status = (
-        F.when(~F.coalesce(_looks_like_xml(text), F.lit(False)), PARSE_ERROR)
-        .when(code.isNull() | code.isin(*SUCCESS_CODES), OK)
+        F.when(_has_root(text, GATEWAY_ROOT), F.when(P.matches_any(turned_down, "LIMITED"), QUOTA).otherwise(SERVICE_ERROR))
+        .when(~_has_root(text, ANSWER_ROOT) | F.col("_answer._broken").isNotNull(), PARSE_ERROR)
+        .when(fine & F.col("_answer.body").isNull(), PARSE_ERROR)
+        .when(fine, OK)
         .when(P.matches_any(message, "LIMITED"), QUOTA)
         .otherwise(SERVICE_ERROR)
     )

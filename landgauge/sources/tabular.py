@@ -69,12 +69,11 @@ def write_table(
 ) -> None:
     """Parquet by default; CSV is written with a header.
 
-    Partitioned output is clustered on its partition columns together with a hash of the row, so
-    that a hot partition value is written by several tasks and a cold one stays one file.
+    Partitioned output is rebalanced on its partition columns: adaptive execution splits a hot partition value
+    over as many tasks as its size asks for, and a cold one stays one file.
     """
     if partition_by:
-        spread = F.pmod(F.xxhash64(*df.columns), F.lit(16))
-        df = df.repartition(*[F.col(c) for c in partition_by], spread)
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
         # Text keeps its outer blanks; the writer would trim them.

@@ -1,11 +1,13 @@
 """Landed answer files -> result and reject tables, each file taken in once.
 
 The stream checkpoint remembers which files were read. A batch writes into folders named after
-its id and replaces them when it is retried, so a restart neither loses nor doubles rows.
+its checkpoint's id and its own and replaces them when it is retried, so a restart neither loses nor doubles rows, and
+a new checkpoint never overwrites what an older one took in.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,9 +50,11 @@ def ingest(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        answers = parse(batch).persist()
+        # The id of the stream, made with the checkpoint and kept in it.
+        run = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        answers = parse(batch).withColumn("taken_in", F.current_timestamp()).persist()
         for name, rows in route(answers).items():
-            rows.write.mode("overwrite").parquet(f"{out}/{name}/batch_id={batch_id}")
+            rows.write.mode("overwrite").parquet(f"{out}/{name}/run={run}/batch_id={batch_id}")
         answers.unpersist()
 
     query = (
@@ -71,7 +75,7 @@ def results(
 ) -> DataFrame:
     """Newest accepted row per key over all batches."""
     rows = spark.read.parquet(f"{out}/{ACCEPTED}")
-    return newest_per_key(rows, keys, ["batch_id", *(sequence or [])])
+    return newest_per_key(rows, keys, ["taken_in", "batch_id", *(sequence or [])])
 
 
 def next_requests(wanted: DataFrame, answers: DataFrame, keys: list[str]) -> DataFrame:

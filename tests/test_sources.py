@@ -145,3 +145,34 @@ def test_quota_stops(spark):
     df = spark.createDataFrame([("ok",), ("quota",)], "status string")
     assert ingest.quota_reached(df).first().stop is True
     assert ingest.quota_reached(df.where("status = 'ok'")).first().stop is False
+
+
+def test_broken_trade_answers_are_asked_again(spark):
+    from landgauge.sources.payloads import parse_trade_answers, trade_rows
+
+    item = "<item><dealAmount>1</dealAmount></item>"
+    fine = f"<response><header><resultCode>00</resultCode></header><body><items>{item}</items></body></response>"
+    answers = {
+        "ok": fine,
+        "cut": fine[: fine.index("</items>")] + "<item>",
+        "html": "<html><p>bad gateway</html>",
+        "malformed": fine.replace("</item>", ""),
+        "no body": "<response><header><resultCode>00</resultCode></header></response>",
+        "gateway": "<OpenAPI_ServiceResponse><cmmMsgHeader><returnAuthMsg>LIMITED NUMBER</returnAuthMsg></cmmMsgHeader></OpenAPI_ServiceResponse>",
+        "null": None,
+    }
+    df = spark.createDataFrame(list(answers.items()), "name string, payload string")
+    parsed = parse_trade_answers(df)
+    status = {r["name"]: r["status"] for r in parsed.select("name", "status").collect()}
+    broken = dict.fromkeys(["cut", "html", "malformed", "no body", "null"], "parse_error")
+    assert status == {"ok": "ok", "gateway": "quota", **broken}
+    assert trade_rows(parsed).count() == 1
+
+
+def test_blank_deal_day_is_null(spark):
+    from landgauge.plans.trades import typed_trades
+
+    names = "sggCd buildYear excluUseAr landAr floor dealYear dealMonth dealDay dealAmount".split()
+    rows = spark.createDataFrame([("11110", "2001", "10.5", "", "3", "2020", "", "", "1,000")], names)
+    got = typed_trades(rows).first()
+    assert (got["dealYear"], got["dealMonth"], got["dealDay"], got["dealAmount"]) == (2020, None, None, 1000)
