@@ -46,12 +46,16 @@ def median_fill(
     ).select(*df.columns)
 
 
+def parking_means(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    return group_stat(df, keys or ["umdNm"], {"_mean": F.avg("parking_ratio")})
+
+
 def parking_fill(
-    df: DataFrame, keys: list[str] | None = None, default: float = 0.5
+    df: DataFrame, keys: list[str] | None = None, default: float = 0.5, means: DataFrame | None = None
 ) -> DataFrame:
-    """parking_ratio: mean of the row's group, then a constant."""
+    """parking_ratio: mean of the row's group, then a constant. ``means`` brings the group means of other rows."""
     keys = keys or ["umdNm"]
-    filled = with_group_stat(df, keys, {"_mean": F.avg("parking_ratio")})
+    filled = df.join(measured(parking_means(df, keys) if means is None else means), keys, "left")
     return filled.withColumn(
         "parking_ratio", F.coalesce("parking_ratio", "_mean", F.lit(default))
     ).select(*df.columns)

@@ -57,9 +57,9 @@ class FeatureEncoders:
         return target_encode(one_hot(df, "houseType", levels), self.means, "umdNm")
 
 
-def imputed(target: DataFrame) -> DataFrame:
-    """Parking by dong, elevator by year, floors by listing."""
-    return floors_fill(elevator_fill(parking_fill(target)))
+def imputed(target: DataFrame, parking: DataFrame | None = None) -> DataFrame:
+    """Parking by dong (from fitted means, where given), elevator by year, floors by listing."""
+    return floors_fill(elevator_fill(parking_fill(target, means=parking)))
 
 
 def final_features(

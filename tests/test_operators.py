@@ -322,3 +322,26 @@ def test_model_beats_the_mean_and_keeps_missing_rows(spark):
     assert metrics.regression_metrics(scored.where("a is not null"), "actual", "predicted_price").first().r2 > 0.8
     importances = {r.feature: r.importance for r in model.feature_importances(fitted, spark).collect()}
     assert importances["a"] > importances["b"]
+
+
+def test_valuation_serves_as_it_trained(spark, tmp_path):
+    from landgauge.constants import TARGET
+    from landgauge.plans.valuation import Valuation
+
+    rows = [
+        (f"r{i}", "연립다세대" if i % 3 else "단독", f"dong{i % 4}", 30.0 + i % 40, 20.0 + i % 7, i % 5, 1990 + i % 30, i % 30,
+         None if i % 6 == 0 else 0.3 + i % 4, None if i % 5 == 0 else i % 2, None if i % 7 == 0 else 4, 400.0 * (i % 9), 90.0 + i % 9, 14.0 + (i % 40) / 50)
+        for i in range(300)
+    ]
+    names = "row_id houseType umdNm excluUseAr landAr floor buildYear Age parking_ratio has_elevator total_floors subway_dist land_index"
+    target = spark.createDataFrame(rows, [*names.split(), TARGET])
+    fitted, _ = Valuation.fit(target, "row_id", trees=3, depth=3, rate=0.3)
+    raw = target.drop(TARGET)
+    first = {r["row_id"]: r["estimated_value"] for r in fitted.value(raw).collect()}
+    # One property alone meets the same fill values as among all others.
+    alone = fitted.value(raw.where("row_id = 'r0'")).first()
+    assert alone["estimated_value"] == first["r0"] and alone["houseType_연립"] == 0
+    assert fitted.value(raw.where("row_id = 'r1'")).first()["houseType_연립"] == 1
+    fitted.save(str(tmp_path / "valuation"))
+    again = Valuation.load(spark, str(tmp_path / "valuation"))
+    assert {r["row_id"]: r["estimated_value"] for r in again.value(raw).collect()} == first
