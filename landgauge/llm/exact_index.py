@@ -83,7 +83,8 @@ def build_index(entries: DataFrame, capacity: int = 4096) -> DataFrame:
 def duplicates(docs: DataFrame, capacity: int = 4096, key: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
-    ``key`` maps a normalised text to a long; equal keys only make chains longer, never a wrong match.
+    ``key`` maps a normalised text to a long that is spread over all 64 bits; equal keys only make chains longer, never a
+    wrong match.
     """
     rows = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("id"), normalised(F.col("text")).alias("norm"))
     entries = stored(
