@@ -28,7 +28,7 @@ from landgauge.llm.components import components
 
 LAST = 9223372036854775807
 #: Rounds in which buckets are compared with one member each, before the rest is compared in full.
-STAR_ROUNDS = 4
+STAR_ROUNDS = 2
 
 
 def shingle_sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -192,6 +192,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         labelled = members.join(labels, "id", "left").select("band", "id", "met", F.coalesce("label", "id").alias("label"))
         mixed = labelled.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b")).where(F.col("a") != F.col("b"))
         open_rows = stored(labelled.join(mixed.select("band"), "band"), "open")
+        if open_rows.isEmpty():
+            break
         turn += 1
     named = classes.join(labels.withColumnRenamed("id", "head"), "head", "left")
     named = named.select(*same, F.coalesce("label", "head").alias("component"))

@@ -44,6 +44,7 @@ class PrefixCounter:
         self.apart = np.zeros((256, 256), bool)
         self.apart[:128, :128] = True
         self.apart[128:, 32] = True
+        self.apart[MARK.encode()[-1], 32] = False  # the mark itself in a text is as good as a blank
         for p in self.score:
             lengths.setdefault(p[-2:], set()).add(len(p))
             plain = p.replace(MARK, " ")
