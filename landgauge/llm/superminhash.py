@@ -6,8 +6,9 @@
 * Documents with the same set are one class from the start, however many they are.
 * Classes meet in bands of the signature. In each bucket all are compared with one of them, first with the one that meets most
   others (the original of many copies), then with another, some rounds long; those that are in one component by then need no
-  more. All pairs of a bucket that are still in different components are compared in the end. So tight
-  groups of any size cost a few comparisons per member, and no link is given up.
+  more. Of the others, pairs are compared that share a shingle their bucket's centre lacks, or that both lie in the centre
+  for the share asked for; no other pair can be a link. So tight groups of any size, and large ones around a common passage,
+  cost a few comparisons per member, and no link is given up.
 * A pair is a link if the Jaccard similarity of the full sets of shingles is at least the threshold. Labels of connected
   documents are found by stars in Spark.
 
@@ -143,6 +144,34 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
     return measured.where(100 * F.col("common") >= percent * (F.col("total") - F.col("common"))).select("u", "v")
 
 
+def remaining(open_rows: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Of members that share a bucket and are in different components: the pairs (u, v) that may be links.
+
+    Each bucket has a centre c. A shingle of a member that c lacks is private. A pair that shares no private shingle has all
+    it shares in c, and then the similarity asked for needs each of the two to have that share of its own set in c.
+    So a pair is left out only if it shares no private shingle and one of the two lies in c by less.
+    """
+    centre = open_rows.groupBy("band").agg(F.max_by("id", F.struct("met", -F.col("id"))).alias("c"))
+    near = stored(open_rows.join(centre, "band").select("band", "id", "label", "c"), "near")
+    needed = stored(near.select("id").distinct(), "open-ids")
+    sets = stored(full_sets(docs.join(needed, "id"), width), "sets")
+    both = near.select("id", "c", "label").distinct().join(sets.toDF("c", "centre"), "c").join(sets.toDF("id", "own"), "id")
+    both = both.select("id", "c", "label", F.size("own").alias("n"), F.array_except("own", "centre").alias("private"))
+    both = stored(both, "private")
+    inside = both.where(100 * (F.col("n") - F.size("private")) >= percent * F.col("n")).select("id", "c").distinct()
+    inside = near.join(inside, ["id", "c"])
+    one = inside.select("band", F.col("id").alias("u"), F.col("label").alias("lu"))
+    two = inside.select("band", F.col("id").alias("v"), F.col("label").alias("lv"))
+    apart = (F.col("u") > F.col("v")) & (F.col("lu") != F.col("lv"))
+    held = one.join(two, "band").where(apart).select("u", "v")
+    rows = both.select("c", "id", "label", F.explode("private").alias("s"))
+    shared = rows.groupBy("c", "s").agg(F.count("*").alias("rows")).where(F.col("rows") > 1).select("c", "s")
+    rows = stored(rows.join(shared, ["c", "s"]), "shared-private")
+    one = rows.select("c", "s", F.col("id").alias("u"), F.col("label").alias("lu"))
+    two = rows.select("c", "s", F.col("id").alias("v"), F.col("label").alias("lv"))
+    return held.unionByName(one.join(two, ["c", "s"]).where(apart).select("u", "v"))
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 30, rows: int = 4) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept."""
     docs = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("id"), "text")
@@ -178,10 +207,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
             met_now = open_rows.join(centre, "band").where(F.col("label") != F.col("centre.label"))
             pairs = met_now.select(F.col("id").alias("u"), F.col("centre.id").alias("v"))
         else:
-            # What still is in different components meets in full.
-            one = open_rows.select("band", F.col("id").alias("u"), F.col("label").alias("lu"))
-            two = open_rows.select("band", F.col("id").alias("v"), F.col("label").alias("lv"))
-            pairs = one.join(two, "band").where((F.col("u") > F.col("v")) & (F.col("lu") != F.col("lv"))).select("u", "v")
+            pairs = remaining(open_rows, docs, width, percent)
         pairs = stored(likely(pairs), "pairs")
         new = stored(verified(pairs, docs, width, percent), "links")
         if not new.isEmpty():

@@ -153,7 +153,10 @@ def test_repeated_passages(odd, odd_rows, crowd):
     assert prefix_free.remove_repeats(odd).count() == len(odd_rows)
 
 
-def test_near_duplicates(odd, odd_rows):
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_near_duplicates(odd, odd_rows, rounds, monkeypatch):
+    # Without rounds of stars all links come from the pairs that remain.
+    monkeypatch.setattr(superminhash, "STAR_ROUNDS", rounds)
     docs = ids(odd_rows)
     sets = {}
     for i, t in docs.items():
