@@ -6,15 +6,14 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from landgauge.llm import attention_lm, exact_index, fm_index, line_filter, mixing, prefix_free, quality, superminhash, token_counts, toxicity
 
-SF = "/root/testdata/sf0.01"
 
 
-def both(spark, sf=SF):
+def both(spark, sf):
     return spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
 
 
 def test_quality_on_the_held_out_fold(spark):
-    docs, labels = both(spark)
+    docs, labels = both(spark, "/root/testdata/sf0.1")
     scored = quality.quality_scores(docs, labels).join(labels, "doc_id").where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0)
     right = scored.agg(F.avg((F.col("predicted") == F.col("quality")).cast("double"))).first()[0]
     assert right > 0.95
