@@ -6,7 +6,8 @@
   perfect hash (levels of bit arrays; a key takes the first level where it is alone) over compact
   arrays: the full hash as fingerprint, the count, and the largest document that holds the line.
 * Documents send their keys to the shards as arrays, one row per batch and shard; the shard's task probes its arrays
-  and answers with the lines to drop. Shards of very common lines are copied, and probes spread over the copies.
+  and answers with the lines to drop. Shards are copied by the number of probes they get, of unique lines too, and the
+  probes spread over the copies.
 
 A null or empty text is one empty line. Repeated rows of an id are one document when counted. A null id counts as the
 smallest. Keys of fewer than ``min_chars`` code points always stay. An empty table gives no rows.
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +28,8 @@ FIRST = -9223372036854775808
 #: Distinct hashes in a shard at most (on average), and probes that one copy of a shard answers.
 SHARD_KEYS = 100_000
 COPY_PROBES = 100_000
+#: Probes of one row at most; hashes of at least so many lines are counted to their own shard, all others to any alike.
+ROW_PROBES = 10_000
 
 
 def line_bounds(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -60,31 +63,36 @@ def ids_of(column: pa.Array) -> np.ndarray:
     return column.fill_null(FIRST).to_numpy(zero_copy_only=False)
 
 
-def distinct_pairs(hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def distinct_pairs(hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs, sorted, and how often each stands."""
     order = np.lexsort((ids, hashes))
     hashes, ids = hashes[order], ids[order]
     new = np.ones(len(hashes), bool)
     new[1:] = (hashes[1:] != hashes[:-1]) | (ids[1:] != ids[:-1])
-    return hashes[new], ids[new]
+    return hashes[new], ids[new], np.diff(np.append(np.flatnonzero(new), len(new)))
 
 
-def line_counts(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
-    """Hashes of the keys in at least ``min_docs`` documents: h, n, last."""
-    kind = [("h", pa.int64()), ("n", pa.int64()), ("last", pa.int64())]
+def line_counts(docs: DataFrame, min_chars: int, min_docs: int) -> tuple[DataFrame, int]:
+    """Hashes of the keys in at least ``min_docs`` documents or very many lines: h, n, last, lines; and all lines long enough."""
+    kind = [("h", pa.int64()), ("n", pa.int64()), ("last", pa.int64()), ("lines", pa.int64())]
 
     def work(batches):
         for b in pieces(batches, 8 << 20):
             buf, offsets = utf8(b.column("text"))
             _, _, row, hashes, long_enough = keyed_lines(buf, offsets, min_chars)
-            h, ids = distinct_pairs(hashes[long_enough], ids_of(b.column("doc_id"))[row[long_enough]])
+            h, ids, lines = distinct_pairs(hashes[long_enough], ids_of(b.column("doc_id"))[row[long_enough]])
             starts = np.flatnonzero(np.append(True, h[1:] != h[:-1])[: len(h)])
             n = np.diff(np.append(starts, len(h)))
             last = ids[np.append(starts[1:], len(h)) - 1] if len(h) else ids
-            yield table(kind, h[starts].view(np.int64), n, last)
+            yield table(kind, h[starts].view(np.int64), n, last, np.add.reduceat(lines, starts) if len(h) else lines)
 
     # Rows of one id must meet in one batch to count once, so repeated ids are merged first.
-    rows = mapped(once(docs), work, "h long, n long, last long")
-    return rows.groupBy("h").agg(F.sum("n").alias("n"), F.max("last").alias("last")).where(F.col("n") >= min_docs)
+    rows = mapped(once(docs), work, "h long, n long, last long, lines long")
+    counts = rows.groupBy("h").agg(F.sum("n").alias("n"), F.max("last").alias("last"), F.sum("lines").alias("lines"))
+    seen = Observation()
+    counts = counts.observe(seen, F.sum("lines").alias("lines"))
+    counts = stored(counts.where((F.col("n") >= min_docs) | (F.col("lines") >= ROW_PROBES)), "line-counts")
+    return counts, seen.get["lines"] or 0
 
 
 def once(docs: DataFrame) -> DataFrame:
@@ -96,7 +104,7 @@ def once(docs: DataFrame) -> DataFrame:
     same = docs["doc_id"].eqNullSafe(repeated["doc_id"])
     single = docs.join(repeated, same, "left_anti").select("doc_id", "text")
     many = docs.join(repeated, same, "left_semi").groupBy("doc_id")
-    return single.unionByName(many.agg(F.concat_ws("\n", F.collect_set("text")).alias("text")))
+    return single.unionByName(many.agg(F.concat_ws("\n", F.collect_list("text")).alias("text")))
 
 
 class PerfectHash:
@@ -166,16 +174,20 @@ class PerfectHash:
 INDEX = "shard int, copies int, sizes array<long>, bits binary, fingerprints binary, counts binary, last binary"
 
 
-def build_shards(counts: DataFrame, shards: int) -> DataFrame:
-    """One row per shard: its perfect hash and arrays, and over how many copies its probes spread."""
+def build_shards(counts: DataFrame, shards: int, others: int, min_docs: int) -> DataFrame:
+    """One row per shard: its perfect hash and arrays, and over how many copies its probes spread.
+
+    ``others``: the lines of each shard besides those in ``counts``.
+    """
 
     def build(group: pa.Table) -> pa.Table:
-        keys = group["h"].to_numpy().view(np.uint64)
-        n = group["n"].to_numpy()
-        packed = PerfectHash.build(keys, n, group["last"].to_numpy()).pack()
-        row = {"shard": group["shard"][0].as_py(), "copies": 1 + int(n.sum()) // COPY_PROBES} | packed
+        probes = int(group["lines"].to_numpy().sum()) + others
+        common = np.flatnonzero(group["n"].to_numpy() >= min_docs)
+        keys, n, last = (group[c].to_numpy()[common] for c in ("h", "n", "last"))
+        packed = PerfectHash.build(keys.view(np.uint64), n, last).pack()
+        row = {"shard": group["shard"][0].as_py(), "copies": 1 + probes // COPY_PROBES} | packed
         kinds = [pa.int32(), pa.int32(), pa.list_(pa.int64()), *[pa.binary()] * 4]
-        return pa.table([pa.array([v], k) for v, k in zip(row.values(), kinds)], names=list(row))
+        return pa.table([pa.array([v][: len(common)], k) for v, k in zip(row.values(), kinds)], names=list(row))
 
     sharded = counts.withColumn("shard", F.pmod("h", F.lit(shards)).cast("int"))
     return stored(sharded.groupBy("shard").applyInArrow(build, INDEX), "line-index")
@@ -183,9 +195,10 @@ def build_shards(counts: DataFrame, shards: int) -> DataFrame:
 
 def lines_to_drop(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
     """Per document with such lines: doc_id, mark (hash of its text), lines (places of the lines to drop)."""
-    counts = stored(line_counts(docs, min_chars, min_docs), "line-counts")
-    shards = 1 + counts.count() // SHARD_KEYS
-    index = build_shards(counts, shards)
+    counts, probes = line_counts(docs, min_chars, min_docs)
+    keys, held = counts.agg(F.count_if(F.col("n") >= min_docs), F.coalesce(F.sum("lines"), F.lit(0))).first()
+    shards = 1 + keys // SHARD_KEYS
+    index = build_shards(counts, shards, -(-(probes - held) // shards), min_docs)
     kind = [("shard", pa.int32()), ("salt", pa.int64()), ("hashes", pa.list_(pa.int64())), ("ids", pa.list_(pa.int64())), ("lines", pa.list_(pa.int64())), ("marks", pa.list_(pa.int64()))]
 
     def ask(batches):
@@ -200,10 +213,12 @@ def lines_to_drop(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
             shard = hashes[asked].view(np.int64) % shards
             order = np.argsort(shard, kind="stable")
             asked, shard = asked[order], shard[order]
-            at = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
+            place = np.arange(len(shard)) - np.searchsorted(shard, shard)
+            at = np.flatnonzero(place % ROW_PROBES == 0)
             sizes = np.diff(np.append(at, len(shard)))
-            salt = np.full(len(at), int(ids[0]) & 0x7FFFFFFF)
             mark = b.column("mark").to_numpy()[row[asked]]
+            owner = (ids[row[asked]] ^ mark)[at].view(np.uint64)
+            salt = (B.mix(owner * np.uint64(B.STEP) + line[asked][at].astype(np.uint64)) >> np.uint64(1)).view(np.int64)
             columns = (hashes[asked].view(np.int64), ids[row[asked]], line[asked], mark)
             yield table(kind, shard[at], salt, *(lists(c, sizes, pa.int64()) for c in columns))
 

@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from landgauge.llm import attention, attention_lm
+from landgauge.llm import attention, attention_lm, line_filter
 
 
 def small_vocabulary():
@@ -63,3 +63,17 @@ def test_every_training_window_is_kept_and_all_trainers_count(spark, odd):
     (row,) = attention_lm.averaged(rows, 123).collect()
     mean = sum(i * (1 + i) for i in range(123)) / sum(range(1, 124))
     assert row.n == sum(range(1, 124)) and np.allclose(np.frombuffer(row.weights, np.float32), [mean, 2 * mean])
+
+
+def test_probes_of_unique_lines_count_for_the_copies(spark, monkeypatch):
+    monkeypatch.setattr(line_filter, "COPY_PROBES", 100)
+    monkeypatch.setattr(line_filter, "ROW_PROBES", 10)
+    rows = [(i, "\n".join(f"line {k} of document {i} alone" for k in range(50)) + "\nthe one line that all share") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+    build = line_filter.build_shards
+    monkeypatch.setattr(line_filter, "build_shards", lambda *a: seen.append(build(*a)) or seen[-1])
+    got = {r["doc_id"]: r["n_dropped"] for r in line_filter.drop_lines(docs).collect()}
+    assert got == {i: int(i != 39) for i in range(40)}
+    # 40 documents of 51 lines.
+    assert [r["copies"] for r in seen[0].collect()] == [1 + 40 * 51 // 100]
