@@ -74,20 +74,33 @@ def distinct_pairs(hashes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.
 
 def line_counts(docs: DataFrame, min_chars: int, min_docs: int) -> tuple[DataFrame, int]:
     """Hashes of the keys in at least ``min_docs`` documents or very many lines: h, n, last, lines; and all lines long enough."""
-    kind = [("h", pa.int64()), ("n", pa.int64()), ("last", pa.int64()), ("lines", pa.int64())]
+    kind = [("h", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("last", pa.int64()), ("lines", pa.int64())]
 
-    def work(batches):
+    def work(batches, again):
         for b in pieces(batches, 8 << 20):
             buf, offsets = utf8(b.column("text"))
             _, _, row, hashes, long_enough = keyed_lines(buf, offsets, min_chars)
             h, ids, lines = distinct_pairs(hashes[long_enough], ids_of(b.column("doc_id"))[row[long_enough]])
+            if again:
+                yield table(kind, h.view(np.int64), ids, np.ones(len(h), np.int64), ids, lines)
+                continue
             starts = np.flatnonzero(np.append(True, h[1:] != h[:-1])[: len(h)])
             n = np.diff(np.append(starts, len(h)))
             last = ids[np.append(starts[1:], len(h)) - 1] if len(h) else ids
-            yield table(kind, h[starts].view(np.int64), n, last, np.add.reduceat(lines, starts) if len(h) else lines)
+            yield table(kind, h[starts].view(np.int64), last, n, last, np.add.reduceat(lines, starts) if len(h) else lines)
 
-    # Rows of one id must meet in one batch to count once, so repeated ids are merged first.
-    rows = mapped(once(docs), work, "h long, n long, last long, lines long")
+    schema = "h long, id long, n long, last long, lines long"
+    docs = docs.select(F.coalesce("doc_id", F.lit(FIRST)).alias("doc_id"), "text")
+    ids = docs.groupBy("doc_id").agg(F.count("*").alias("rows")).where(F.col("rows") > 1).select("doc_id")
+    repeated = stored(ids, "repeated-ids")
+    if repeated.isEmpty():
+        rows = mapped(docs, lambda batches: work(batches, False), schema)
+    else:
+        # An id of several rows counts once for a line: pairs of line and id meet, never texts.
+        rows = mapped(docs.join(repeated, "doc_id", "left_anti"), lambda batches: work(batches, False), schema)
+        many = mapped(docs.join(repeated, "doc_id", "left_semi"), lambda batches: work(batches, True), schema)
+        many = many.groupBy("h", "id").agg(F.max("n").alias("n"), F.max("last").alias("last"), F.sum("lines").alias("lines"))
+        rows = rows.unionByName(many)
     counts = rows.groupBy("h").agg(F.sum("n").alias("n"), F.max("last").alias("last"), F.sum("lines").alias("lines"))
     seen = Observation()
     counts = counts.observe(seen, F.sum("lines").alias("lines"))
@@ -95,18 +108,6 @@ def line_counts(docs: DataFrame, min_chars: int, min_docs: int) -> tuple[DataFra
     return counts, seen.get["lines"] or 0
 
 
-def once(docs: DataFrame) -> DataFrame:
-    """One row per id: the texts of an id that stands in several rows, joined by line feeds."""
-    ids = docs.groupBy("doc_id").agg(F.count("*").alias("rows")).where(F.col("rows") > 1).select("doc_id")
-    repeated = stored(ids, "repeated-ids")
-    if repeated.isEmpty():
-        return docs.select("doc_id", "text")
-    same = docs["doc_id"].eqNullSafe(repeated["doc_id"])
-    single = docs.join(repeated, same, "left_anti").select("doc_id", "text")
-    many = docs.join(repeated, same, "left_semi").groupBy("doc_id")
-    return single.unionByName(many.agg(F.concat_ws("\n", F.collect_list("text")).alias("text")))
-
-
 class PerfectHash:
     """A minimal perfect hash over distinct 64-bit keys, with arrays in its order."""
 

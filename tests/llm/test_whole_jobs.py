@@ -77,3 +77,15 @@ def test_probes_of_unique_lines_count_for_the_copies(spark, monkeypatch):
     assert got == {i: int(i != 39) for i in range(40)}
     # 40 documents of 51 lines.
     assert [r["copies"] for r in seen[0].collect()] == [1 + 40 * 51 // 100]
+
+
+def test_lines_of_repeated_ids_count_once_without_merging_texts(spark, monkeypatch):
+    shared = ["a line that three documents share", "a line that two ids share in four rows"]
+    rows = [(1, shared[0]), (1, shared[1]), (1, shared[1] + "\nmore"), (2, "\n".join(shared)), (2, shared[1]), (3, shared[0]), (None, "x"), (None, "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    plans = []
+    monkeypatch.setattr(line_filter, "stored", lambda df, name, put=line_filter.stored: plans.append(df._jdf.queryExecution().toString()) or put(df, name))
+    got = sorted((r["doc_id"] or 0, r["text"]) for r in line_filter.drop_lines(docs).collect())
+    want = [(0, "x"), (0, "y"), (1, ""), (1, shared[1]), (1, shared[1] + "\nmore"), (2, shared[1]), (2, shared[1]), (3, shared[0])]
+    assert got == want
+    assert not any("collect_set(text" in p or "collect_list(text" in p for p in plans)
