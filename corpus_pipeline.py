@@ -5,7 +5,8 @@ of documents, whatever further columns these have. Texts that a stage shortens g
 
 * quality: a factorisation machine, fitted on at most 8,192 labelled documents among those given; a score below 0.3 goes.
 * lines: keys of at least 20 characters that at least 3 documents share stay only in the largest doc_id.
-* near copies: groups by 5-word shingles of similarity 0.8 or more; the smallest doc_id of each stays, and one row of an id.
+* near copies: groups by 5-word shingles of similarity 0.8 or more; the smallest doc_id of each stays (one without id
+  only if no other has one), and one row of those with the same id and text.
 * benchmark: spans covered by 10-word windows of benchmark items are cut out of the texts.
 * mix: words taken per document for sources weighing 1, 2, 3; one row per document that the mix takes something of, with
   text. Rows without an id share what their source's rows without one get.
@@ -23,7 +24,7 @@ from landgauge.llm.fm_index import without_spans
 from landgauge.llm.line_filter import drop_lines
 from landgauge.llm.mixing import mix
 from landgauge.llm.quality import quality_scores
-from landgauge.llm.superminhash import near_duplicates
+from landgauge.llm.superminhash import document_key, near_groups
 
 
 def measured_again(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -41,16 +42,17 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = near_duplicates(docs, width=5, percent=80)
-    dropped = stored(groups.where(~F.col("kept")).select(F.col("doc_id").alias("__id")).distinct(), "near-copies")
-    left = docs.join(dropped, F.col("doc_id") == F.col("__id"), "left_anti")
-    twice = left.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    twice = stored(twice.select(F.col("doc_id").alias("__id")), "repeated-ids")
+    groups = stored(near_groups(docs, width=5, percent=80), "near-groups").withColumnRenamed("id", "__id")
+    dropped = stored(groups.where(~F.col("kept")).select("__id").distinct(), "near-copies")
+    left = docs.withColumn("__id", document_key()).join(dropped, "__id", "left_anti")
+    # Rows without id and words are linked with nothing, so all of them stay.
+    known = groups.where(F.col("kept") & (F.col("doc_id").isNotNull() | (F.col("n_shingles") > 0)))
+    twice = known.groupBy("__id").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("__id")
+    twice = stored(twice, "repeated-rows")
     if twice.isEmpty():
-        return left
-    same = F.col("doc_id") == F.col("__id")
-    once = left.join(twice, same, "left_semi").dropDuplicates(["doc_id"])
-    return left.join(twice, same, "left_anti").unionByName(once)
+        return left.select(*docs.columns)
+    once = left.join(twice, "__id", "left_semi").dropDuplicates(["__id"])
+    return left.join(twice, "__id", "left_anti").unionByName(once).select(*docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

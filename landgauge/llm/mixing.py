@@ -141,7 +141,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), block: int = 8, c
     quotas = sainte_lague(within).select(
         F.col("party").alias("key"), F.col("item").alias("shard"), "shard_size", (F.col("won") * block).alias("quota")
     )
-    first = F.pmod(number(seeded(F.lit(seed), F.lit("start"), F.col("key"), F.col("shard"))), F.ceil(F.col("shard_size") / block)) * block
+    first = F.pmod(number(seeded(F.lit(seed), F.lit("start"), F.col("key"), F.col("shard"))), F.greatest(F.lit(1), F.ceil(F.col("shard_size") / block))) * block
     quotas = stored(quotas.withColumn("first", first), "quotas")
 
     line = Window.partitionBy("key", "shard").orderBy("digest", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)

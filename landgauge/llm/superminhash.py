@@ -12,26 +12,31 @@
 * A pair is a link if the Jaccard similarity of the full sets of shingles is at least the threshold. Labels of connected
   documents are found by stars in Spark.
 
-Null and empty texts, and texts without words, have an empty set and are linked with nothing. A null id counts as larger
-than all others; rows that repeat an id are one document with the links of all. An empty table gives no rows.
+Null and empty texts, and texts without words, have an empty set and are linked with nothing. A document is an id and a text
+(by a 64-bit hash of both), so rows with the same id, or none, and different texts are linked each by its own. Of a component
+the document of the smallest id is kept (null last, then by hash), and its id names the component. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landgauge.llm import bytesops as B
 from landgauge.llm.common import lists, mapped, pieces, stored, table, utf8
 from landgauge.llm.components import components
 
-LAST = 9223372036854775807
 #: Rounds in which buckets are compared with one member each, before the rest is compared in full.
 STAR_ROUNDS = 2
 
 
+def document_key() -> Column:
+    """Names a document: its id (or that it has none) and its text; a null text is an empty one."""
+    return F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit("")))
+
+
 def shingle_sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashed shingles of all texts, sorted within each text, and the size of each text's set."""
     buf, offsets = utf8(column)
@@ -97,9 +102,9 @@ def signatures(elements: np.ndarray, sizes: np.ndarray, slots: int) -> np.ndarra
 
 
 def sketch(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """Per document: id, n_shingles, two sums that identify the set, and its band keys."""
+    """Per row: id, doc_id, n_shingles, two sums that identify the set, and its band keys."""
     kind = [
-        ("id", pa.int64()), ("n_shingles", pa.int64()), ("sum_a", pa.int64()), ("sum_b", pa.int64()), ("bands", pa.list_(pa.int64()))
+        ("id", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sum_a", pa.int64()), ("sum_b", pa.int64()), ("bands", pa.list_(pa.int64()))
     ]
 
     def work(batches):
@@ -116,9 +121,9 @@ def sketch(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
                 keys = B.mix(keys * np.uint64(B.STEP) + held[:, :, k])
             each = np.where(sizes > 0, bands, 0)
             flat = keys[sizes > 0].ravel().view(np.int64)
-            yield table(kind, b.column("id"), sizes, *sums, lists(flat, each, pa.int64()))
+            yield table(kind, b.column("id"), b.column("doc_id"), sizes, *sums, lists(flat, each, pa.int64()))
 
-    return mapped(docs, work, "id long, n_shingles long, sum_a long, sum_b long, bands array<long>")
+    return mapped(docs, work, "id long, doc_id long, n_shingles long, sum_a long, sum_b long, bands array<long>")
 
 
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -135,7 +140,7 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
 def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (u, v) that are links, compared on their full sets."""
     needed = stored(pairs.select("u").union(pairs.select("v")).distinct().toDF("id"), "pair-ids")
-    sets = stored(full_sets(docs.join(needed, "id"), width), "sets")
+    sets = stored(full_sets(docs.join(needed, "id").dropDuplicates(["id"]), width), "sets")
     second = pairs.join(sets.toDF("v", "b"), "v")
     both = second.join(sets.toDF("u", "a"), "u")
     common = F.size(F.array_intersect("a", "b")).alias("common")
@@ -151,10 +156,10 @@ def remaining(open_rows: DataFrame, docs: DataFrame, width: int, percent: int) -
     it shares in c, and then the similarity asked for needs each of the two to have that share of its own set in c.
     So a pair is left out only if it shares no private shingle and one of the two lies in c by less.
     """
-    centre = open_rows.groupBy("band").agg(F.max_by("id", F.struct("met", -F.col("id"))).alias("c"))
+    centre = open_rows.groupBy("band").agg(F.max_by("id", F.struct("met", F.bitwise_not("id"))).alias("c"))
     near = stored(open_rows.join(centre, "band").select("band", "id", "label", "c"), "near")
     needed = stored(near.select("id").distinct(), "open-ids")
-    sets = stored(full_sets(docs.join(needed, "id"), width), "sets")
+    sets = stored(full_sets(docs.join(needed, "id").dropDuplicates(["id"]), width), "sets")
     both = near.select("id", "c", "label").distinct().join(sets.toDF("c", "centre"), "c").join(sets.toDF("id", "own"), "id")
     both = both.select("id", "c", "label", F.size("own").alias("n"), F.array_except("own", "centre").alias("private"))
     both = stored(both, "private")
@@ -173,11 +178,17 @@ def remaining(open_rows: DataFrame, docs: DataFrame, width: int, percent: int) -
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 30, rows: int = 4) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id, kept."""
-    docs = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("id"), "text")
+    """Per row: doc_id, n_shingles, component_id, kept."""
+    return near_groups(docs, width, percent, bands, rows).drop("id")
+
+
+def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 30, rows: int = 4) -> DataFrame:
+    """The same, with the document's key as id."""
+    docs = docs.select(document_key().alias("id"), "doc_id", "text")
     found = stored(sketch(docs, width, bands, rows), "sketches")
     same = ["n_shingles", "sum_a", "sum_b"]
-    classes = stored(found.where(F.col("n_shingles") > 0).groupBy(*same).agg(F.min("id").alias("head")), "classes")
+    first = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "id")
+    classes = stored(found.where(F.col("n_shingles") > 0).groupBy(*same).agg(F.min("id").alias("head"), F.min(first).alias("first")), "classes")
     heads = found.join(classes, same).where(F.col("id") == F.col("head")).select("id", "n_shingles", F.explode("bands").alias("band"))
     members = heads.distinct()
     crowded = members.groupBy("band").agg(F.count("*").alias("n")).where(F.col("n") > 1)
@@ -202,7 +213,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     while True:
         if turn < STAR_ROUNDS:
             # All members of a bucket meet one of them, another one each round.
-            rank = F.struct("met", -F.col("id")) if turn == 0 else F.struct(F.xxhash64("id", "band", F.lit(turn)), F.col("id"))
+            rank = F.struct("met", F.bitwise_not("id")) if turn == 0 else F.struct(F.xxhash64("id", "band", F.lit(turn)), F.col("id"))
             centre = open_rows.groupBy("band").agg(F.max_by(F.struct("id", "label"), rank).alias("centre"))
             met_now = open_rows.join(centre, "band").where(F.col("label") != F.col("centre.label"))
             pairs = met_now.select(F.col("id").alias("u"), F.col("centre.id").alias("v"))
@@ -221,10 +232,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         if open_rows.isEmpty():
             break
         turn += 1
-    named = classes.join(labels.withColumnRenamed("id", "head"), "head", "left")
-    named = named.select(*same, F.coalesce("label", "head").alias("component"))
-    result = found.join(named, same, "left").withColumn("component", F.coalesce("component", "id"))
+    labels = labels.withColumnRenamed("id", "head")
+    firsts = classes.join(labels, "head").groupBy("label").agg(F.min("first").alias("least"))
+    named = classes.join(labels, "head", "left").join(stored(firsts, "firsts"), "label", "left")
+    named = named.select(*same, F.coalesce("least", "first").alias("first"))
+    result = found.join(named, same, "left").withColumn("first", F.coalesce("first", first))
     return result.select(
-        F.nullif("id", F.lit(LAST)).alias("doc_id"), "n_shingles",
-        F.nullif("component", F.lit(LAST)).alias("component_id"), (F.col("id") == F.col("component")).alias("kept"),
-    )
+        "id", "doc_id", "n_shingles", F.col("first.doc_id").alias("component_id"), (F.col("id") == F.col("first.id")).alias("kept")
+    )

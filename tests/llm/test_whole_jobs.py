@@ -1,9 +1,12 @@
 """Cases in which an operator once did less than the whole job."""
 
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
-from landgauge.llm import attention, attention_lm, line_filter
+import corpus_pipeline
+from landgauge.llm import attention, attention_lm, line_filter, superminhash
 
 
 def small_vocabulary():
@@ -89,3 +92,14 @@ def test_lines_of_repeated_ids_count_once_without_merging_texts(spark, monkeypat
     want = [(0, "x"), (0, "y"), (1, ""), (1, shared[1]), (1, shared[1] + "\nmore"), (2, shared[1]), (2, shared[1]), (3, shared[0])]
     assert got == want
     assert not any("collect_set(text" in p or "collect_list(text" in p for p in plans)
+
+
+def test_near_copies_of_rows_without_id_or_with_a_shared_one(spark):
+    rng = random.Random(1)
+    a, b, c = (" ".join(str(rng.random()) for _ in range(60)) for _ in range(3))
+    rows = [(1, a), (2, b), (None, a + " x"), (None, b + " x"), (None, c), (None, c), (7, c + " x"), (7, a + " y"), (7, "alone " * 9), (7, "alone " * 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["component_id"], r["kept"]) for r in superminhash.near_duplicates(docs).collect()}
+    assert got == {(1, 1, True), (2, 2, True), (None, 1, False), (None, 2, False), (None, 7, False), (7, 7, True), (7, 1, False)}
+    left = sorted(map(tuple, corpus_pipeline.near_copies(spark, docs, "").collect()))
+    assert left == sorted([(1, a), (2, b), (7, c + " x"), (7, "alone " * 9)])
