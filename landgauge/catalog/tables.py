@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 from landgauge.catalog.registry import table
 from landgauge.operators.regions import mapped_or_same
 
-MONTHS = [(y, m) for y in range(1995, 2002) for m in range(1, 13)]
-
-
 # --- regions -----------------------------------------------------------------------------
 
 def region_codes(spark: SparkSession, sf: str) -> DataFrame:
@@ -189,7 +186,10 @@ def wide_index(spark: SparkSession, sf: str) -> DataFrame:
     )
     shown = F.when(~gap, F.format_number(index, 0)).otherwise("")
     label = F.concat(F.col("y").cast("string"), F.lit("년 "), F.col("m").cast("string"), F.lit("월"))
-    labels = [f"{y}년 {m}월" for y, m in MONTHS]
+    # From the first month with orders to the last; an empty table has no rows, but some month.
+    month = F.year("o_orderdate") * 12 + F.month("o_orderdate") - 1
+    first, last = orders.agg(*[F.coalesce(f(month), F.lit(1995 * 12)) for f in (F.min, F.max)]).first()
+    labels = [f"{k // 12}년 {k % 12 + 1}월" for k in range(first, last + 1)]
     # Even nations get a second row, for a district, half a point higher.
     level = F.explode(
         F.when(F.col("c_nationkey") % 2 == 0, F.array(F.lit(None).cast("string"), F.lit("GU1"))).otherwise(
