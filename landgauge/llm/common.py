@@ -34,9 +34,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def mapped(df: DataFrame, fn, schema: str) -> DataFrame:
+def discard(df: DataFrame) -> None:
+    """Delete the files of a ``stored`` table that nothing reads any more."""
+    spark = df.sparkSession
+    files = df.inputFiles()
+    if files:
+        path = spark._jvm.org.apache.hadoop.fs.Path(files[0].rsplit("/", 1)[0])
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def mapped(df: DataFrame, fn, schema: str, rows: int = BATCH_ROWS) -> DataFrame:
     """``mapInArrow`` with batches of bounded size (sets Spark's rows per Arrow batch for the session)."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     return df.mapInArrow(fn, schema)
 
 

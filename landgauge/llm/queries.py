@@ -227,3 +227,58 @@ def language_model(spark, sf):
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     scored = language_scores(read(spark, sf, "documents"), held, vocabulary, public_tokenizers.PATTERN)
     return scored.withColumn("held_out", held)
+
+
+@query(
+    "op11_spelling_variants",
+    """
+    WITH RECURSIVE steps AS (
+        SELECT list(list_reduce([b] || range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)
+                    ORDER BY b) AS t
+        FROM range(256) r(b)
+    ), runs AS (
+        SELECT doc_id, unnest(regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+        FROM documents
+    ), counted AS (
+        SELECT run, hex(coalesce(doc_id::VARCHAR, '') || ':' || run) AS code, count(*) AS n
+        FROM runs WHERE length(run) >= 7 GROUP BY ALL
+    ), summed AS (
+        SELECT run, n, xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(range(length(code) // 2),
+                   lambda k: ('0x' || code[2 * k + 1:2 * k + 2])::BIGINT),
+                   lambda c, b: xor(t[xor(c, b) % 256 + 1], c // 256))) AS h
+        FROM counted, steps
+    ), cut AS (
+        SELECT CASE WHEN h % 31 <> 0 THEN run
+                    ELSE substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) END AS word, n
+        FROM summed
+    ), words AS (
+        SELECT word, sum(n)::BIGINT AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+    ), gaps AS (
+        SELECT word, n, substr(word, 1, p) AS a, substr(word, p + 2) AS b FROM (SELECT word, n, unnest(range(length(word))) AS p FROM words)
+    ), pairs AS (
+        SELECT x.word, y.word AS near, y.n FROM gaps x JOIN gaps y ON x.a = y.a AND x.b = y.b AND x.word <> y.word
+        UNION
+        SELECT g.word, w.word, w.n FROM gaps g JOIN words w ON w.word = g.a || g.b
+        UNION
+        SELECT w.word, g.word, g.n FROM gaps g JOIN words w ON w.word = g.a || g.b
+    ), best AS (
+        SELECT word, count(*) AS n_near, first(near ORDER BY n DESC, near) AS near, max(n) AS near_n FROM pairs GROUP BY word
+    ), forms AS (
+        SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * w.n THEN near END AS form,
+               CASE WHEN near_n >= 10 * w.n THEN near_n END AS form_n
+        FROM words w LEFT JOIN best USING (word)
+    ), walk AS (
+        SELECT word, form AS at FROM forms WHERE form IS NOT NULL
+        UNION ALL
+        SELECT k.word, f.form FROM walk k JOIN forms f ON f.word = k.at WHERE f.form IS NOT NULL
+    ), ends AS (
+        SELECT k.word, k.at AS root FROM walk k JOIN forms f ON f.word = k.at WHERE f.form IS NULL
+    )
+    SELECT word, n, n_near, form, form_n, coalesce(root, word) AS root FROM forms LEFT JOIN ends USING (word)
+    """,
+)
+def spelling_variants(spark, sf):
+    from landgauge.llm.variants import variants_of
+
+    return variants_of(read(spark, sf, "documents"), every=31, shortest=7, least=2, ratio=10)
