@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 U = np.uint64
@@ -111,3 +113,19 @@ def covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
 def runs(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs of true places; none crosses a border."""
     return word_bounds(mask, offsets)
+
+
+def slabs(buf: np.ndarray, offsets: np.ndarray, cut: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``limit`` bytes; each ends at the border of a text or before a byte that ``cut`` marks."""
+    at = 0
+    while at < len(buf):
+        end = at + limit
+        border = int(offsets[min(np.searchsorted(offsets, end), len(offsets) - 1)])
+        while end < border:
+            free = np.flatnonzero(cut[buf[end : min(border, end + 65536)]])
+            if len(free):
+                border = end + int(free[0])
+                break
+            end += 65536
+        yield at, border
+        at = border

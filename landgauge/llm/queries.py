@@ -282,3 +282,12 @@ def spelling_variants(spark, sf):
     from landgauge.llm.variants import variants_of
 
     return variants_of(read(spark, sf, "documents"), every=31, shortest=7, least=2, ratio=10)
+
+
+@query("op13_best_fit_packing")
+def best_fit_packing(spark, sf):
+    import public_tokenizers
+
+    from landgauge.llm.packing import pack
+
+    return pack(read(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=1)

@@ -78,22 +78,6 @@ def crc32_of(seeds: np.ndarray, buf: np.ndarray, starts: np.ndarray, ends: np.nd
     return out
 
 
-def slabs(buf: np.ndarray, offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
-    """Ranges of about ``limit`` bytes that cut no run."""
-    at = 0
-    while at < len(buf):
-        end = at + limit
-        border = int(offsets[min(np.searchsorted(offsets, end), len(offsets) - 1)])
-        while end < border:
-            free = np.flatnonzero(_CUT[buf[end : min(border, end + 65536)]])
-            if len(free):
-                border = end + int(free[0])
-                break
-            end += 65536
-        yield at, border
-        at = border
-
-
 def word_counts(docs: DataFrame, every: int = 31, shortest: int = 7) -> DataFrame:
     """(word, n): the words of all texts of at least ``shortest`` characters."""
     kind = [("word", pa.string()), ("n", pa.int64())]
@@ -103,7 +87,7 @@ def word_counts(docs: DataFrame, every: int = 31, shortest: int = 7) -> DataFram
             whole, borders = utf8(b.column("text"))
             ids = b.column("doc_id").to_pylist()
             seeds = np.array([zlib.crc32(f"{'' if i is None else i}:".encode()) for i in ids], np.uint32)
-            for lo, hi in slabs(whole, borders, 2 << 20):
+            for lo, hi in B.slabs(whole, borders, _CUT, 2 << 20):
                 buf = B.LOWER[whole[lo:hi]]
                 offsets = np.clip(borders - lo, 0, hi - lo)
                 held = _LETTER[buf]
