@@ -291,3 +291,55 @@ def best_fit_packing(spark, sf):
     from landgauge.llm.packing import pack
 
     return pack(read(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=1)
+
+
+def codebook_sql(parts: int = 8, k: int = 16, rounds: int = 6) -> str:
+    """The rounds written out: entries and nearest entries of each round are a table of their own."""
+    steps = []
+    for r in range(rounds + 1):
+        if r:
+            steps.append(f"""
+    moved{r} AS (
+        SELECT part, entry, list(m ORDER BY pos) AS x FROM (
+            SELECT part, entry, pos, floor(sum(v) / count(*)::DOUBLE)::BIGINT AS m
+            FROM (SELECT a.part, a.entry, unnest(p.x) AS v, generate_subscripts(p.x, 1) AS pos
+                  FROM nearest{r - 1} a JOIN split p USING (vec_id, part)) GROUP BY part, entry, pos
+        ) GROUP BY part, entry
+    ), entries{r} AS MATERIALIZED (
+        SELECT part, entry, coalesce(m.x, e.x) AS x FROM entries{r - 1} e LEFT JOIN moved{r} m USING (part, entry)
+    )""")
+        steps.append(f"""
+    nearest{r} AS MATERIALIZED (
+        SELECT vec_id, part, (min((d, entry))).entry AS entry, (min((d, entry))).d AS d
+        FROM (SELECT vec_id, p.part, {{'d': list_sum([(a[1] - a[2]) * (a[1] - a[2]) FOR a IN list_zip(p.x, e.x)])::BIGINT,
+                     'entry': e.entry}} AS o
+              FROM split p JOIN entries{r} e ON p.part = e.part) GROUP BY vec_id, part
+    )""".replace("(min((d, entry)))", "min(o)"))
+    return f"""
+    WITH kept AS MATERIALIZED (
+        SELECT vec_id, label, [floor(4096 * v::DOUBLE)::BIGINT FOR v IN embedding] AS q FROM embeddings
+        WHERE embedding IS NOT NULL AND len([v FOR v IN embedding IF v IS NULL OR NOT isfinite(v)]) = 0
+    ), split AS MATERIALIZED (
+        SELECT vec_id, part, q[len(q) // {parts} * part + 1:len(q) // {parts} * (part + 1)] AS x
+        FROM (SELECT *, unnest(range({parts})) AS part FROM kept)
+    ), entries0 AS MATERIALIZED (
+        SELECT part, entry, x FROM split JOIN
+            (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept ORDER BY vec_id LIMIT {k}) USING (vec_id)
+    ), {",".join(steps)},
+    named AS (
+        SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, entry, pos)) AS codebooks_sha256
+        FROM (SELECT part, entry, unnest(x) AS v, generate_subscripts(x, 1) AS pos FROM entries{rounds})
+    ), coded AS (
+        SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+        FROM nearest{rounds} GROUP BY vec_id
+    )
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+    FROM coded JOIN kept USING (vec_id), named
+    """
+
+
+@query("op12_vector_codes", codebook_sql())
+def vector_codes(spark, sf):
+    from landgauge.llm.vector_codes import vector_codes
+
+    return vector_codes(read(spark, sf, "embeddings"), parts=8, k=16, rounds=6).drop("label")
