@@ -25,12 +25,13 @@ BUCKETS = 1 << 16
 BINS = 8
 RANK = 8
 
-_KIND = np.zeros((5, 256), np.float64)
-_KIND[0, 65:91] = 1  # capital letters
-_KIND[1, 48:58] = 1  # digits
-_KIND[2, [33, 35, 36, 37, 38, 42, 43, 60, 61, 62, 64, 92, 94, 95, 96, 124, 126]] = 1  # signs that are rare in prose
-_KIND[3, [44, 46, 58, 59, 63, 34, 39, 40, 41, 45]] = 1  # punctuation of prose
-_KIND[4, 128:] = 1  # bytes of non-ASCII characters
+#: Kinds of bytes; 5 is none of them.
+_KIND = np.full(256, 5, np.uint8)
+_KIND[65:91] = 0  # capital letters
+_KIND[48:58] = 1  # digits
+_KIND[[33, 35, 36, 37, 38, 42, 43, 60, 61, 62, 64, 92, 94, 95, 96, 124, 126]] = 2  # signs that are rare in prose
+_KIND[[44, 46, 58, 59, 63, 34, 39, 40, 41, 45]] = 3  # punctuation of prose
+_KIND[128:] = 4  # bytes of non-ASCII characters
 STATS = 12
 
 
@@ -38,13 +39,19 @@ def sums_by(values: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(rows, weights=values, minlength=n)
 
 
+def held(marked: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many marked bytes each text has."""
+    return np.diff(np.searchsorted(np.flatnonzero(marked), offsets))
+
+
 def features(b: pa.RecordBatch):
     """Distinct words as (row, bucket, share), and the statistics of each row."""
     buf, offsets = utf8(b.column("text"))
     n, size = b.num_rows, np.diff(offsets).astype(float)
     starts, ends = B.word_bounds(~B.BLANK[buf], offsets)
     row = B.rows_of(starts, offsets)
-    hashes = B.range_hash(B.prefix_sums(B.LOWER[buf]), starts, ends)
+    low = B.LOWER[buf]
+    hashes = B.range_hash(B.prefix_sums(low), starts, ends, low)
     words = np.bincount(row, minlength=n).astype(float)
     # Words of a row, sorted by bucket: equal neighbours are counted.
     key = np.sort((row.astype(np.uint64) << np.uint64(16)) | (hashes >> np.uint64(48)))
@@ -54,9 +61,9 @@ def features(b: pa.RecordBatch):
     share = count / np.maximum(words[at], 1)
     some, full = np.maximum(words, 1), np.maximum(size, 1)
     stats = np.empty((n, STATS))
-    shares = [np.concatenate([[0], np.cumsum(k[buf])]) for k in _KIND]
-    for i, s in enumerate(shares):
-        stats[:, i] = (s[offsets[1:]] - s[offsets[:-1]]) / full
+    kinds = _KIND[buf]
+    for i in range(5):
+        stats[:, i] = held(kinds == i, offsets) / full
     again = np.append(False, (hashes[1:] == hashes[:-1]) & (row[1:] == row[:-1]))[: len(row)]
     stats[:, 5] = sums_by(again, row, n) / some
     stats[:, 6] = np.bincount(at, minlength=n) / some
@@ -65,8 +72,7 @@ def features(b: pa.RecordBatch):
     stats[:, 7] = top
     stats[:, 8] = sums_by(ends - starts, row, n) / some
     stats[:, 9] = np.log1p(words)
-    feeds = np.concatenate([[0], np.cumsum(buf == 10)])
-    stats[:, 10] = (1 + feeds[offsets[1:]] - feeds[offsets[:-1]]) / some
+    stats[:, 10] = (1 + held(buf == 10, offsets)) / some
     given = b.column("n_chars").cast(pa.float64()).to_numpy(zero_copy_only=False)
     stats[:, 11] = np.log1p(np.clip(np.where(np.isnan(given), size, given), 0, None))
     return at, bucket, share, stats
