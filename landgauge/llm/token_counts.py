@@ -163,7 +163,7 @@ class PrefixCounter:
     def totals(self, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Tokens of each text."""
         out, starts, ends = self.segments(buf, offsets)
-        hashes = B.range_hash(B.prefix_sums(out), starts, ends)
+        hashes = B.range_hash(B.prefix_sums(out), starts, ends, out)
         order = np.argsort(hashes)
         ranked = hashes[order]
         new = np.ones(len(ranked), bool)
@@ -175,13 +175,14 @@ class PrefixCounter:
         missing = [i for i, n in enumerate(found) if n is None]
         if missing:
             raw = out.tobytes()
-            place = {}
+            # Segments with a blank and with the mark for it differ in bytes, but are one text to the model.
+            place: dict[str, list[int]] = {}
             for i in missing:
                 at = example[i]
-                place[raw[starts[at] : ends[at]].decode().replace(" ", MARK)] = i
+                place.setdefault(raw[starts[at] : ends[at]].decode().replace(" ", MARK), []).append(i)
             for text, counts in self.solve(sorted(place)):
-                i = place[text]
-                found[i] = self.known[distinct[i]] = counts[-1]
+                for i in place[text]:
+                    found[i] = self.known[distinct[i]] = counts[-1]
         each = np.empty(len(starts), np.int64)
         each[order] = np.asarray(found, np.int64)[np.cumsum(new) - 1] if len(ranked) else 0
         sums = np.concatenate([[0], np.cumsum(each)])
@@ -225,7 +226,7 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFra
 
     def work(batches):
         c = counter(model_path)
-        for b in pieces(batches, 8 << 20):
+        for b in pieces(batches, 4 << 20):
             buf, offsets = utf8(b.column("text"))
             tokens = c.totals(buf, offsets)
             starts = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])[offsets]
