@@ -16,8 +16,9 @@ A batch deals out a phrase that it holds many times once, so copies make no hot
 order with a state of one row; triggers shared by more than ``crowd`` different phrases are settled window by window
 in Spark instead of one task.
 
-Null and empty texts have no bytes. A null id counts as larger than all others. Rows that repeat an id and its text are one
-document; of different texts of one id only the smallest is searched, the others stay whole. An empty table gives no rows.
+Null and empty texts have no bytes. A null id counts as larger than all others; texts of one id, or of none, follow each other by
+a hash of the text, and every further row with the same id and text is a later document, a repeat from end to end. All are
+searched. ``window`` is 1,000 at most. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -284,18 +285,31 @@ def repeated_spans(docs: DataFrame, window: int, crowd: int) -> DataFrame:
     return whole.unionByName(plain).unionByName(compare_crowded(found.join(crowded, "t"), window))
 
 
-def remove_repeats(docs: DataFrame, window: int = 100, crowd: int = 20_000) -> DataFrame:
-    """Per document: doc_id, n_bytes, n_removed, n_spans, starts and ends of the removed spans, kept (binary)."""
+def in_order(docs: DataFrame) -> DataFrame:
+    """(doc_id, id, text, copies): documents by ascending id, rows with the same id and text as one.
+
+    Ids that are all different order themselves. Else all documents are numbered, by keys of fixed size.
+    """
     rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("id"), "text")
     twice = stored(rows.groupBy("id").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("id"), "repeated-ids")
-    searched = F.lit(True)
-    single = rows.select("id", "text")
-    if not twice.isEmpty():
-        chosen = stored(single.join(twice, "id").groupBy("id").agg(F.min("text").alias("chosen")), "chosen")
-        single = single.join(twice, "id", "left_anti").unionByName(chosen.toDF("id", "text"))
-        rows = rows.join(chosen, "id", "left")
-        searched = F.col("chosen").isNull() | F.col("text").eqNullSafe(F.col("chosen"))
-    spans = repeated_spans(single.where(F.octet_length("text") >= window), window, crowd)
+    if twice.isEmpty():
+        return rows.withColumn("copies", F.lit(1).cast("long"))
+    once = rows.join(twice, "id", "left_anti").withColumn("copies", F.lit(1).cast("long"))
+    many = rows.join(twice, "id", "left_semi").groupBy("doc_id", "id", "text").agg(F.count("*").alias("copies"))
+    key = ["id", "h", "other"]
+    all_rows = once.unionByName(many).withColumns({"h": F.xxhash64("text"), "other": F.xxhash64(F.lit(1), "text")})
+    all_rows = stored(all_rows, "documents")
+    numbers = all_rows.select(*key).orderBy(*key).withColumn("number", F.monotonically_increasing_id())
+    numbered = all_rows.join(stored(numbers, "numbers"), key).select("doc_id", F.col("number").alias("id"), "text", "copies")
+    return stored(numbered, "documents")
+
+
+def remove_repeats(docs: DataFrame, window: int = 100, crowd: int = 20_000) -> DataFrame:
+    """Per document: doc_id, n_bytes, n_removed, n_spans, starts and ends of the removed spans, kept (binary)."""
+    if not 1 <= window <= 1000:
+        raise ValueError("window is 1 to 1,000 bytes")
+    rows = in_order(docs)
+    spans = repeated_spans(rows.select("id", "text").where(F.octet_length("text") >= window), window, crowd)
     per_doc = spans.groupBy("id").agg(F.collect_list("start").alias("starts"), F.collect_list("end").alias("ends"))
     kind = [
         ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
@@ -324,7 +338,13 @@ def remove_repeats(docs: DataFrame, window: int = 100, crowd: int = 20_000) -> D
                 lists(a - offsets[row], per_row, pa.int64()), lists(z - offsets[row], per_row, pa.int64()), data.cast(pa.binary()),
             )
 
-    joined = rows.withColumn("searched", searched).join(per_doc, "id", "left")
-    marks = [F.when(F.col("searched"), F.col(c)).alias(c) for c in ("starts", "ends")]
+    # Further copies of a row are repeats as a whole, if a window fits into them.
+    joined = rows.join(per_doc, "id", "left").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    again = (F.col("copy") > 1) & (size >= window)
+    marks = [
+        F.when(again, F.array(F.lit(0).cast("long"))).otherwise(F.col("starts")).alias("starts"),
+        F.when(again, F.array(size)).otherwise(F.col("ends")).alias("ends"),
+    ]
     out = "doc_id long, n_bytes long, n_removed long, n_spans long, starts array<long>, ends array<long>, kept binary"
     return mapped(joined.select("doc_id", "text", *marks), cut, out)
