@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+from xxhash import xxh3_64_intdigest
 
 U = np.uint64
+#: Bytes of a range up to which sums modulo 2^64 are its hash.
+SHORT = 64
 #: An odd multiplier and its inverse modulo 2^64, for hashes of any byte range by prefix sums.
 STEP = 0x9E3779B97F4A7C15
 BACK = pow(STEP, -1, 1 << 64)
@@ -43,14 +46,23 @@ def mix(h: np.ndarray) -> np.ndarray:
 def prefix_sums(buf: np.ndarray) -> np.ndarray:
     sums = np.empty(len(buf) + 1, U)
     sums[0] = 0
-    np.cumsum(_BYTES[buf] * powers(STEP, len(buf)), out=sums[1:])
+    terms = _BYTES[buf]
+    terms *= powers(STEP, len(buf))
+    np.cumsum(terms, out=sums[1:])
     return sums
 
 
-def range_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes in [start, end) that does not depend on where they stand."""
+def range_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, buf: np.ndarray | None = None) -> np.ndarray:
+    """A 64-bit hash of the bytes in [start, end) that does not depend on where they stand.
+
+    Sums modulo 2^64 are weak for long regular texts; with ``buf``, the bytes summed, longer ranges get another hash."""
     raw = (sums[ends] - sums[starts]) * powers(BACK, len(sums))[starts]
-    return mix(raw + (ends - starts).astype(U))
+    out = mix(raw + (ends - starts).astype(U))
+    if buf is not None:
+        data = memoryview(np.ascontiguousarray(buf))
+        for i in np.flatnonzero(ends - starts > SHORT).tolist():
+            out[i] = xxh3_64_intdigest(data[starts[i] : ends[i]])
+    return out
 
 
 def word_bounds(is_word: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

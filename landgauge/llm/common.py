@@ -54,7 +54,7 @@ def crc_remainder(column: str, n: int) -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % n, F.lit(0))
 
 
-def pieces(batches: Iterator[pa.RecordBatch], limit: int = 4 << 20, column: str = "text") -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], limit: int = 1 << 20, column: str = "text") -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``limit`` bytes of text; a row is never cut."""
     held: list[pa.RecordBatch] = []
     size = 0

@@ -36,7 +36,7 @@ def words(column: pa.Array):
     buf, offsets = utf8(column)
     lower = B.LOWER[buf]
     starts, ends = B.word_bounds(_WORD[lower], offsets)
-    return B.range_hash(B.prefix_sums(lower), starts, ends), starts, ends, B.rows_of(starts, offsets)
+    return B.range_hash(B.prefix_sums(lower), starts, ends, lower), starts, ends, B.rows_of(starts, offsets)
 
 
 class Windows:
@@ -227,7 +227,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> Dat
     ]
 
     def work(batches):
-        for b in pieces(batches):
+        for b in pieces(batches, 4 << 20):
             n_words, n_hit, starts, ends, spans, offsets, items = search(b, blocks)
             base = np.repeat(offsets[:-1], spans)
             places = (lists((x - base).astype(np.int32), spans, pa.int32()) for x in (starts, ends))
@@ -243,7 +243,7 @@ def without_spans(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> Dat
     schema = docs.schema
 
     def cut(batches):
-        for b in pieces(batches):
+        for b in pieces(batches, 4 << 20):
             _, _, starts, ends, _, offsets, _ = search(b, blocks)
             buf, _ = utf8(b.column("text"))
             keep = ~B.covered(starts, ends, len(buf))

@@ -55,7 +55,8 @@ def keyed_lines(buf, offsets, min_chars):
     a[some] = solid[first[some]]
     b[some] = solid[last[some] - 1] + 1
     chars = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
-    hashes = B.range_hash(B.prefix_sums(B.LOWER[buf]), a, b)
+    low = B.LOWER[buf]
+    hashes = B.range_hash(B.prefix_sums(low), a, b, low)
     return starts, ends, row, hashes, chars[b] - chars[a] >= min_chars
 
 
@@ -77,7 +78,7 @@ def line_counts(docs: DataFrame, min_chars: int, min_docs: int) -> tuple[DataFra
     kind = [("h", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("last", pa.int64()), ("lines", pa.int64())]
 
     def work(batches, again):
-        for b in pieces(batches, 8 << 20):
+        for b in pieces(batches, 2 << 20):
             buf, offsets = utf8(b.column("text"))
             _, _, row, hashes, long_enough = keyed_lines(buf, offsets, min_chars)
             h, ids, lines = distinct_pairs(hashes[long_enough], ids_of(b.column("doc_id"))[row[long_enough]])
@@ -203,7 +204,7 @@ def lines_to_drop(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
     kind = [("shard", pa.int32()), ("salt", pa.int64()), ("hashes", pa.list_(pa.int64())), ("ids", pa.list_(pa.int64())), ("lines", pa.list_(pa.int64())), ("marks", pa.list_(pa.int64()))]
 
     def ask(batches):
-        for b in pieces(batches, 8 << 20):
+        for b in pieces(batches, 2 << 20):
             buf, offsets = utf8(b.column("text"))
             starts, _, row, hashes, long_enough = keyed_lines(buf, offsets, min_chars)
             ids = ids_of(b.column("doc_id"))
@@ -257,7 +258,7 @@ def drop_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, names=("
     schema = T.StructType([*docs.schema.fields, *added])
 
     def cut(batches):
-        for b in pieces(batches, 8 << 20):
+        for b in pieces(batches, 2 << 20):
             buf, offsets = utf8(b.column("text"))
             starts, ends, row = line_bounds(buf, offsets)
             rows = b.num_rows

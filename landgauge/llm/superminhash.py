@@ -42,7 +42,8 @@ def shingle_sets(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     buf, offsets = utf8(column)
     starts, ends = B.word_bounds(~B.BLANK[buf], offsets)
     row = B.rows_of(starts, offsets)
-    hashes = B.range_hash(B.prefix_sums(B.LOWER[buf]), starts, ends)
+    low = B.LOWER[buf]
+    hashes = B.range_hash(B.prefix_sums(low), starts, ends, low)
     n = np.bincount(row, minlength=len(column))
     first = np.cumsum(n) - n
     whole = B.chain(hashes, width)
