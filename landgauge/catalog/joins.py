@@ -308,25 +308,26 @@ def vectors(spark, sf):
     "j13_comparables",
     """WITH v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
     q AS (SELECT e FROM v WHERE id = 100),
-    s AS (SELECT id, round(list_cosine_similarity(v.e, q.e), 6) AS similarity FROM v, q WHERE id <> 100)
-    SELECT id, similarity FROM s ORDER BY similarity DESC, id LIMIT 10""",
+    s AS (SELECT id, list_cosine_similarity(v.e, q.e) AS similarity FROM v, q WHERE id <> 100)
+    SELECT id, round(similarity, 6) AS similarity FROM s ORDER BY s.similarity DESC, id LIMIT 10""",
 )
 def comparables(spark, sf):
-    return similar.comparables(vectors(spark, sf), 100, n=10)
+    return rounded(similar.comparables(vectors(spark, sf), 100, n=10), "similarity", digits=6)
 
 
 BATCH_SQL = """WITH v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
-    s AS (SELECT q.id AS query_id, c.id, round(list_cosine_similarity(q.e, c.e), 6) AS similarity FROM v q JOIN v c ON q.id <> c.id),
+    s AS (SELECT q.id AS query_id, c.id, list_cosine_similarity(q.e, c.e) AS similarity FROM v q JOIN v c ON q.id <> c.id),
     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, id) AS rank FROM s)
-    SELECT query_id, CAST(rank AS INTEGER) AS rank, id, similarity FROM r WHERE rank <= 3"""
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, id, round(similarity, 6) AS similarity FROM r WHERE rank <= 3"""
 
 
 @query("j14_batch_comparables", BATCH_SQL)
 def batch_comparables(spark, sf):
-    return similar.batch_comparables(vectors(spark, sf), vectors(spark, sf))
+    return rounded(similar.batch_comparables(vectors(spark, sf), vectors(spark, sf)), "similarity", digits=6)
 
 
 @query("j14_batch_comparables_by_blocks", BATCH_SQL)
 def batch_comparables_by_blocks(spark, sf):
+    """In blocks of 50 rows: ten pivots and more blocks at the smallest scale."""
     v = vectors(spark, sf)
-    return similar.batch_comparables(v, v, query_limit=0, block_rows=1_000)
+    return rounded(similar.batch_comparables(v, v, block_rows=50), "similarity", digits=6)

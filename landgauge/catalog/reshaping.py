@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from landgauge.catalog.aggregates import rounded
 from landgauge.catalog.joins import index, landed
 from landgauge.catalog.registry import query, table
 from landgauge.catalog.tables import ADJUSTED_SQL, INDEX_SQL, REGION_SQL, TRADES_SQL, raw_trades, wide_index
@@ -91,12 +92,12 @@ def hash_split(spark, sf):
     "o5_top_n",
     """WITH v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
     q AS (SELECT e FROM v WHERE id = 7),
-    s AS (SELECT id, round(list_cosine_similarity(v.e, q.e), 6) AS similarity FROM v, q WHERE id <> 7)
-    SELECT id, similarity FROM s ORDER BY similarity DESC, id LIMIT 3""",
+    s AS (SELECT id, list_cosine_similarity(v.e, q.e) AS similarity FROM v, q WHERE id <> 7)
+    SELECT id, round(similarity, 6) AS similarity FROM s ORDER BY s.similarity DESC, id LIMIT 3""",
 )
 def top_n(spark, sf):
     vectors = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
-    return similar.comparables(vectors, 7, n=3)
+    return rounded(similar.comparables(vectors, 7, n=3), "similarity", digits=6)
 
 
 @query(

@@ -266,24 +266,62 @@ def _vectors(spark, rows):
 def test_comparables_exclude_self_by_id(spark):
     # Rows 0 and 1 are the same vector; row 3 has no length.
     df = _vectors(spark, [[1, 0], [1, 0], [0.6, 0.8], [0, 0]])
-    assert [(r.id, r.similarity) for r in similar.comparables(df, 1, 3).collect()] == [(0, 1.0), (2, 0.6), (3, 0.0)]
+    assert [(r.id, round(r.similarity, 6)) for r in similar.comparables(df, 1, 3).collect()] == [(0, 1.0), (2, 0.6), (3, 0.0)]
     assert similar.comparables(df, 77, 3).count() == 0
 
 
-def test_batch_comparables_plans_agree_with_brute_force(spark):
+def _best_of_all(m, ids, n):
+    """Plain top n per row, as (query, rank, id, similarity to six digits)."""
+    unit = m.astype(float)
+    length = np.linalg.norm(unit, axis=1, keepdims=True)
+    unit = unit / np.where(length == 0, 1, length)
+    want = set()
+    for q in range(len(m)):
+        sims = (unit * unit[q]).sum(axis=1)
+        best = sorted((-sims[c], ids[c]) for c in range(len(m)) if c != q)[:n]
+        want |= {(ids[q], r + 1, i, round(-s, 6)) for r, (s, i) in enumerate(best)}
+    return want
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+@pytest.mark.parametrize("kwargs", [{}, {"block_rows": 17}, {"block_rows": 5, "max_pivots": 3}])
+def test_batch_comparables_equal_brute_force(spark, kind, kwargs):
     rng = np.random.default_rng(5)
-    m = rng.normal(size=(120, 6)).astype(np.float32)
-    m[40:80] = m[40]  # A third of the rows are copies of one.
+    m = np.concatenate([rng.normal(size=(90, 6)), 5 + rng.normal(size=(60, 6))]).astype(np.float32)
+    m[40:80] = m[40]  # Many rows are copies of one.
+    m[100:103] = 0
+    ids = list(range(150)) if kind == "long" else [f"é{i}" for i in range(150)]
+    rows = [(i, [float(x) for x in v]) for i, v in zip(ids, m)]
+    extra = [(999 if kind == "long" else "x", None), (998 if kind == "long" else "y", [float("nan")] * 6)]
+    df = spark.createDataFrame(rows + extra, f"id {kind}, embedding array<float>")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        got = similar.batch_comparables(df.repartition(5), df, **kwargs).collect()
+    finally:
+        spark.conf.unset(coalesce)
+    assert {(r.query_id, r.rank, r.id, round(r.similarity, 6)) for r in got} == _best_of_all(m, ids, 3)
+
+
+def test_batch_comparables_skip_far_blocks(spark):
+    """Clustered rows: few of all pairs of query and block are compared, and the rest is not missed."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(30, 16))
+    m = (centres[rng.integers(0, 30, 3000)] + rng.normal(0, 0.02, (3000, 16))).astype(np.float32)
     df = _vectors(spark, m)
-    unit = m.astype(float) / np.linalg.norm(m.astype(float), axis=1, keepdims=True)
-    sims = np.round(unit @ unit.T, 6)
-    want = set()
-    for q in range(120):
-        best = sorted((-sims[q, c], c) for c in range(120) if c != q)[:3]
-        want |= {(q, r + 1, c) for r, (_, c) in enumerate(best)}
-    for kwargs in ({}, {"query_limit": 0, "block_rows": 17}):
-        rows = similar.batch_comparables(df.repartition(5), df, **kwargs).collect()
-        assert {(r.query_id, r.rank, r.id) for r in rows} == want
+    search = similar.BlockSearch(df, n=3, block_rows=60)
+    found, report = search.answer(df)
+    work = report.first()
+    assert work.queries == 3000 and work.blocks >= 50 and work.pairs == 3000 * work.blocks
+    assert work.compared < work.pairs / 5
+    assert {(r.query_id, r.rank, r.id, round(r.similarity, 6)) for r in found.collect()} == _best_of_all(m, list(range(3000)), 3)
+
+
+def test_batch_comparables_of_nothing(spark):
+    none, one = _vectors(spark, []), _vectors(spark, [[1.0, 2.0]])
+    assert similar.batch_comparables(one, none).collect() == []
+    assert similar.batch_comparables(none, one).collect() == []
+    assert similar.batch_comparables(one, one).collect() == []
 
 
 def test_latent_space_matches_a_dense_decomposition(spark):
