@@ -1,7 +1,8 @@
 """Packing token pieces into sequences of fixed capacity, by bin completion.
 
-* Documents become token ids, one end id each; longer ones are cut into pieces of the capacity. Texts are cut at blanks,
-  where the tokenizer cuts as well and drops what it cuts at, and each distinct chunk is encoded once.
+* Documents become token ids, one end id each; longer ones are cut into pieces of the capacity. Texts are cut at blanks, which
+  the tokenizer drops, and between ASCII letters, digits and signs, where it cuts as well (the apostrophe and the bar of its
+  special strings aside), and each distinct chunk is encoded once. This holds for tokenizers with such rules.
 * Only lengths matter for packing, so the problem is a count per length: at most as many numbers as the capacity,
   whatever the number of documents. Nothing else of the documents reaches the driver.
 * Incumbent: best fit in decreasing order. Bin completion then branches on the fillings around the largest piece left.
@@ -34,7 +35,14 @@ from landgauge.llm import bytesops as B
 from landgauge.llm.common import mapped, pieces, stored, table, texts, utf8
 
 #: Chunks a worker keeps, and the bytes of the longest one kept.
-KEPT, KEPT_BYTES = 400_000, 64
+KEPT, KEPT_BYTES = 1_000_000, 64
+
+#: Kinds of ASCII between which the tokenizer cuts: letters, digits (each on its own), signs; 0 is none of them.
+_KIND = np.zeros(256, np.uint8)
+_KIND[:128] = 3
+_KIND[B.BLANK] = _KIND[[39, 124]] = 0
+_KIND[65:91] = _KIND[97:123] = 1
+_KIND[48:58] = 2
 
 Pattern = tuple[int, list[tuple[int, int]]]  # how often, and (length, times) in it
 
@@ -53,6 +61,20 @@ class ChunkEncoder:
         self.known: dict[str, int] = {}
         self.ids, self.used = np.empty(1 << 16, np.uint32), 0
         self.at, self.n = np.zeros(1 << 14, np.int64), 0  # ends of the chunks' ids, from place 1 on
+        self.asked = np.zeros(1 << 14, bool)  # chunks met again since they came
+
+    def thin_out(self) -> None:
+        """Keep the chunks that were met again."""
+        old = np.flatnonzero(self.asked[: self.n])
+        place = np.full(self.n, -1)
+        place[old] = np.arange(len(old))
+        self.known = {c: p for c, i in self.known.items() if (p := int(place[i])) >= 0}
+        sizes = self.at[old + 1] - self.at[old]
+        ids = self.ids[B.ranges(self.at[old], sizes)]
+        self.ids[: len(ids)] = ids
+        self.at[1 : len(old) + 1] = np.cumsum(sizes)
+        self.n, self.used = len(old), len(ids)
+        self.asked[:] = False
 
     def add(self, chunks: list[str]) -> np.ndarray:
         """Encode chunks and put them at the end of the table; their places in it."""
@@ -62,6 +84,7 @@ class ChunkEncoder:
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
         while self.n + len(found) + 1 > len(self.at):
             self.at = np.concatenate([self.at, np.zeros_like(self.at)])
+            self.asked = np.concatenate([self.asked, np.zeros_like(self.asked)])
         flat = np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum()))
         self.ids[self.used : self.used + len(flat)] = flat
         self.at[self.n + 1 : self.n + 1 + len(found)] = self.used + np.cumsum(sizes)
@@ -75,17 +98,26 @@ class ChunkEncoder:
         flat, counts = [np.empty(0, np.uint32)], np.zeros(len(offsets) - 1, np.int64)
         for lo, hi in B.slabs(buf, offsets, B.BLANK, 1 << 20):
             part, borders = buf[lo:hi], np.clip(offsets - lo, 0, hi - lo)
-            starts, ends = B.word_bounds(~B.BLANK[part], borders)
+            kind = _KIND[part]
+            apart = (kind[1:] > 0) & (kind[:-1] > 0) & ((kind[1:] != kind[:-1]) | (kind[1:] == 2))
+            starts, ends = B.word_bounds(~B.BLANK[part], np.concatenate([borders, np.flatnonzero(apart) + 1]))
             if len(starts) == 0:
                 continue
+            if b"<|" not in part.tobytes():  # special strings are told by case
+                # A letter before another character may form one with it, which has a case of its own.
+                plain = np.append(part[1:] < 128, True)
+                part = np.where(plain, B.LOWER[part], part)
             sizes = ends - starts
             chunks = texts(part[B.ranges(starts, sizes)], np.concatenate([[0], np.cumsum(sizes)])).dictionary_encode()
             if self.n > KEPT:
-                self.forget()
+                self.thin_out()
+                if self.n > KEPT // 2:
+                    self.forget()
             names = chunks.dictionary.to_pylist()
             place = np.array([self.known.get(c, -1) for c in names], np.int64)
             new = np.flatnonzero(place < 0)
-            base, tail = self.n, self.used
+            self.asked[place[place >= 0]] = True
+            base = self.n
             if len(new):
                 # Long chunks go last, so that they can be dropped from the table's end.
                 new = new[np.argsort([len(names[i]) > KEPT_BYTES for i in new], kind="stable")]
@@ -97,7 +129,7 @@ class ChunkEncoder:
             if len(new):
                 short = sum(len(names[i]) <= KEPT_BYTES for i in new)
                 self.known.update((names[i], base + k) for k, i in enumerate(new[:short]))
-                self.n, self.used = base + short, int(self.at[base + short]) if short else tail
+                self.n, self.used = base + short, int(self.at[base + short])
         return np.concatenate(flat), counts
 
 

@@ -213,16 +213,16 @@ def test_packing_is_a_round_trip(spark, odd, odd_rows, none):
     assert packing.pack(none, path).collect() == []
 
 
-def test_chunks_are_encoded_as_whole_texts():
-    """Odd blanks, special strings, combining marks, long chunks, and a table that is forgotten now and then."""
+def test_chunks_are_encoded_as_whole_texts(monkeypatch):
+    """Odd blanks, special strings, combining marks, long chunks, and a table that is thinned out and forgotten."""
     path = public_tokenizers.path("word_bpe_49k.json")
     model, mine = Tokenizer.from_file(path), packing.ChunkEncoder(path)
     rng = random.Random(2)
     signs = [" ", "\n", "\t", " ", "　", "\x0b", "\x1c", "\x85", "'s", "'", "<|endoftext|>", "<|start", "A", "é", "é",
-             "́", "Σ", "ς", "İ", "ß", "1", "23", "₤", "漢字", "\U0001f600", "​", ".", "--", "word", "Words" * 30, "\x00"]
-    for k in range(60):
-        if k % 20 == 0:
-            mine.forget()
+             "́", "Σ", "ς", "İ", "ß", "1", "23", "₤", "漢字", "\U0001f600", "​", ".", "--", "word", "Words" * 30, "\x00",
+             "J", "\u030c", "=", "\u0338", "I", "\u0307", "|", "<|", "|>", "<|ENDOFTEXT|>", "x", "'S", "'LL", "7", ","]
+    monkeypatch.setattr(packing, "KEPT", 300)
+    for _ in range(60):
         batch = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 40))) for _ in range(20)]
         data = [t.encode() for t in batch]
         offsets = np.concatenate([[0], np.cumsum([len(d) for d in data])])
