@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import struct
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -119,3 +121,36 @@ def mixed_use_flag(purpose: ColumnLike) -> Column:
 
 def floor_count(c: ColumnLike) -> Column:
     return first_filled_number(c, default=BUILDING_DEFAULTS["total_floors"]).cast("int")
+
+
+def ordered_bits(value: ColumnLike) -> Column:
+    """A long that orders like the double value: its sign, exponent and mantissa bits. Null and NaN give null; -0.0 is 0.0."""
+    x = _col(value).cast("double")
+    a = F.abs(x)
+    guess = F.floor(F.log2(a)).cast("int")
+    scaled = a / F.pow(F.lit(2.0), guess)
+    # The logarithm may round to the next power of two.
+    exponent = guess + F.when(scaled >= 2, 1).when(scaled < 1, -1).otherwise(0)
+    exponent = F.greatest(exponent, F.lit(-1022))
+    mantissa = (a / F.pow(F.lit(2.0), exponent) * F.lit(2.0**52)).cast("long")
+    bits = F.shiftleft((exponent + 1022).cast("long"), 52) + mantissa
+    infinite = F.lit(2047 << 52).cast("long")
+    size = F.when(a == 0, F.lit(0).cast("long")).when(a == float("inf"), infinite).otherwise(bits)
+    return F.when(x.isNotNull() & ~F.isnan(x), F.when(x < 0, -size).otherwise(size))
+
+
+def bits_value(bits: ColumnLike) -> Column:
+    """The double that :func:`ordered_bits` gave the long for."""
+    k = _col(bits)
+    size = F.abs(k)
+    exponent, rest = F.shiftright(size, 52), size.bitwiseAND(F.lit((1 << 52) - 1))
+    normal = (rest + F.lit(1 << 52)).cast("double") * F.pow(F.lit(2.0), exponent - 1075)
+    small = rest.cast("double") * F.pow(F.lit(2.0), F.lit(-1074))
+    whole = F.when(exponent == 0, small).when(exponent == 2047, F.lit(float("inf"))).otherwise(normal)
+    return F.when(k < 0, -whole).otherwise(whole)
+
+
+def value_of_bits(bits: int) -> float:
+    """The double that :func:`ordered_bits` gave the long for."""
+    size = struct.unpack(">d", abs(bits).to_bytes(8, "big"))[0]
+    return -size if bits < 0 else size

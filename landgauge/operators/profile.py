@@ -2,122 +2,94 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landgauge.constants import COMPLETENESS_COLUMNS, ZERO_CHECK_COLUMNS
+from landgauge.functions.numeric import ordered_bits, value_of_bits
 from landgauge.operators.filters import complete_on
 
+# Bits of a key that a round of the descent tells apart.
+STEP_BITS = 14
 
-def exact_quantiles(
-    df: DataFrame, columns: list[str], probs: list[float], accuracy: int = 10_000
-) -> DataFrame:
-    """Exact, linearly interpolated quantiles as (column, prob, value) rows.
 
-    Two passes, both combined on the map side. The first keeps a bounded sketch per column whose
-    rank error is known, which brackets every quantile. The second counts the rows below each
-    bracket and ranks only the distinct values inside, so no task ever holds a whole column.
-    """
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    # Sketch error on both sides plus the two ranks that interpolation needs; short columns, for
-    # which two ranks are a larger share, are bracketed whole.
-    slack = 5.0 / accuracy
-    edges = [min(1.0, max(0.0, p + s)) for p in probs for s in (-slack, slack)]
-    sketch = values.agg(
-        *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
-        *[F.struct(F.min(c), F.max(c)).alias(f"m{i}") for i, c in enumerate(columns)],
-        *[
-            F.percentile_approx(c, F.array(*[F.lit(e) for e in edges]), F.lit(accuracy)).alias(f"q{i}")
-            for i, c in enumerate(columns)
-        ],
-    ).first()
-
-    brackets = []
-    for i, c in enumerate(columns):
-        n = sketch[f"n{i}"]
-        if n == 0:
-            continue
-        for j, p in enumerate(probs):
-            low, high = sketch[f"q{i}"][2 * j : 2 * j + 2] if n > accuracy else sketch[f"m{i}"]
-            rank = p * (n - 1)
-            brackets.append((i, j, c, float(p), low, high, int(rank), rank - int(rank), n))
-    spark = df.sparkSession
-    shape = "i int, j int, column string, prob double, low double, high double, rank long, part double, n long"
-    if not brackets:
-        return spark.createDataFrame([], "column string, prob double, value double")
-
-    def inside(b):
-        return F.col(b[2]).between(b[4], b[5])
-
-    below = values.agg(
-        *[F.count_if(F.col(b[2]) < b[4]).alias(f"b{b[0]}_{b[1]}") for b in brackets]
-    ).first()
-    hits = F.array(
-        *[
-            F.when(inside(b), F.struct(F.lit(b[0]).alias("i"), F.lit(b[1]).alias("j"), F.col(b[2]).alias("v")))
-            for b in brackets
-        ]
-    )
-    counts = (
-        values.select(F.explode(F.filter(hits, lambda h: h.isNotNull())).alias("h"))
-        .groupBy("h.i", "h.j", "h.v")
-        .agg(F.count(F.lit(1)).alias("m"))
-    )
-    located = spark.createDataFrame(
-        [(*b, below[f"b{b[0]}_{b[1]}"]) for b in brackets], shape + ", below long"
-    )
-    w = Window.partitionBy("i", "j").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.withColumn("upto", F.sum("m").over(w)).join(located, ["i", "j"])
-    last = F.col("below") + F.col("upto")
-    start = last - F.col("m")
-
-    def holds(rank):
-        return (start <= rank) & (rank < last)
-
-    upper = F.least(F.col("rank") + 1, F.col("n") - 1)
-    picked = ranked.groupBy("i", "j", "column", "prob", "part").agg(
-        F.max(F.when(holds(F.col("rank")), F.col("v"))).alias("lo"),
-        F.max(F.when(holds(upper), F.col("v"))).alias("hi"),
-    )
-    exact = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")
-    missed = F.raise_error(F.lit("a quantile fell outside its bracket; raise accuracy"))
-    value = F.when(exact.isNotNull(), exact).otherwise(missed.cast("double"))
-    return picked.select("column", "prob", value.alias("value"))
+@dataclass
+class _Rank:
+    """A value wanted: the ``rank``-th (from 0) of those whose key starts with ``prefix``."""
 
+    column: int
+    rank: int
+    prefix: int = 0
+    value: float | None = None
 
-def counted_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
-    """Like :func:`exact_quantiles`, in one pass, for columns of few distinct values.
 
-    Years, floors and amounts in whole units collapse to one counter per value on the map side.
+def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
+    """Exact, linearly interpolated quantiles as (column, prob, value) rows; null and NaN do not count.
+
+    Values become whole-number keys of the same order, and the keys are descended bit by bit: each round counts, on the map
+    side, the rows by the next 14 bits inside the cells that still hold a wanted rank. A cell whose least and largest
+    key agree is settled. So there are five rounds at most, no task holds values, and the driver
+    gets counts of at most 16,384 cells for each of the two ranks of a quantile.
     """
-    entries = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns]
-    )
-    counts = (
-        df.select(F.explode(entries).alias("e"))
-        .where(F.col("e.v").isNotNull())
-        .groupBy("e.column", "e.v")
-        .agg(F.count(F.lit(1)).alias("m"))
-    )
-    w = Window.partitionBy("column").orderBy("v")
-    ranked = counts.withColumns(
-        {"upto": F.sum("m").over(w), "n": F.sum("m").over(Window.partitionBy("column"))}
-    ).withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-    place = F.col("prob") * (F.col("n") - 1)
-    lower = F.floor(place)
-    start = F.col("upto") - F.col("m")
-
-    def holds(rank):
-        return (start <= rank) & (rank < F.col("upto"))
-
-    picked = ranked.groupBy("column", "prob").agg(
-        F.max(F.when(holds(lower), F.col("v"))).alias("lo"),
-        F.max(F.when(holds(F.ceil(place)), F.col("v"))).alias("hi"),
-        F.max(place - lower).alias("part"),
-    )
-    value = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")
-    return picked.select("column", "prob", value.alias("value"))
+    keys = df.select(*[ordered_bits(F.col(c)).alias(f"k{i}") for i, c in enumerate(columns)]).persist()
+    entries = [F.struct(F.lit(i).alias("i"), F.col(f"k{i}").alias("k")) for i in range(len(columns))]
+    rows = keys.select(F.explode(F.array(*entries)).alias("e")).select("e.*").where(F.col("k").isNotNull())
+    spark = df.sparkSession
+    asked: dict[tuple[int, int], _Rank] = {}
+    total: dict[int, int] = {}
+    depth = 0
+    while True:
+        wanted = [r for r in asked.values() if r.value is None]
+        if depth and not wanted:
+            break
+        inside = rows
+        if depth:
+            cells = sorted({(r.column, r.prefix) for r in wanted})
+            open_cells = spark.createDataFrame(cells, "i int, p long")  # two a quantile at most
+            inside = rows.withColumn("p", F.shiftright("k", 64 - depth)).join(F.broadcast(open_cells), ["i", "p"])
+        depth = min(64, depth + STEP_BITS)
+        cell = F.shiftright("k", 64 - depth) if depth < 64 else F.col("k")
+        counts = inside.groupBy("i", cell.alias("cell")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("k").alias("low"), F.max("k").alias("high")
+        )
+        found: dict[int, list] = {}
+        for r in sorted(counts.collect()):
+            found.setdefault(r.i, []).append(r)
+        if not total:
+            total = {i: sum(r.n for r in held) for i, held in found.items()}
+            for i, n in total.items():
+                for p in probs:
+                    for rank in (int(p * (n - 1)), min(int(p * (n - 1)) + 1, n - 1)):
+                        asked[i, rank] = _Rank(i, rank)
+            wanted = list(asked.values())
+        for want in wanted:
+            _descend(want, found[want.column], depth)
+    keys.unpersist()
+    result = []
+    for i, c in enumerate(columns):
+        for p in probs if i in total else ():
+            place = p * (total[i] - 1)
+            low, high = asked[i, int(place)].value, asked[i, min(int(place) + 1, total[i] - 1)].value
+            part = place - int(place)
+            result.append((c, float(p), low if part == 0 or low == high else low + (high - low) * part))
+    return spark.createDataFrame(result, "column string, prob double, value double")
+
+
+def _descend(want: _Rank, cells: list, depth: int) -> None:
+    """Follow a rank into the cell that holds it; ``cells`` are sorted and may belong to other prefixes as well."""
+    shift, before = 64 - depth, (depth - 1) // STEP_BITS * STEP_BITS
+    for r in cells:
+        if before and r.low >> (64 - before) != want.prefix:
+            continue
+        if want.rank < r.n:
+            want.prefix = r.low >> shift
+            if r.low == r.high:
+                want.value = value_of_bits(r.low)
+            return
+        want.rank -= r.n
 
 
 def _long(row: DataFrame, entries: list[tuple[str, str, str]]) -> DataFrame:

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from landgauge.functions.numeric import bits_value, ordered_bits, value_of_bits
 from landgauge.operators import (
     encode, filters, impute, land_index, lookups, lsa, metrics, model, nearest, profile, regions, similar, split,
 )
@@ -151,20 +152,67 @@ def test_fill_leaves_known_rows_alone(spark):
     assert got == {1: ("a", "service"), 2: ("a", "centroid"), 3: (None, None), 4: ("b", "service")}
 
 
-@pytest.mark.parametrize("accuracy", [10_000, 1_000, 200])
-def test_exact_quantiles(spark, accuracy):
+def test_exact_quantiles(spark):
     rng = np.random.default_rng(3)
     # A third of the rows share one value.
     x = np.concatenate([rng.normal(size=4_000), np.full(2_000, 0.25)])
     df = spark.createDataFrame([(float(v), None if v > 1 else float(v)) for v in x], "a double, b double")
     probs = [0.0, 0.02, 0.25, 0.5, 0.75, 0.98, 1.0]
-    got = {(r.column, r.prob): r.value for r in profile.exact_quantiles(df, ["a", "b"], probs, accuracy).collect()}
+    got = {(r.column, r.prob): r.value for r in profile.exact_quantiles(df, ["a", "b"], probs).collect()}
     for p in probs:
         assert got["a", p] == pytest.approx(np.percentile(x, p * 100))
         assert got["b", p] == pytest.approx(np.percentile(x[x <= 1], p * 100))
     assert profile.exact_quantiles(df.where("a > 99"), ["a"], [0.5]).count() == 0
-    counted = {(r.column, r.prob): r.value for r in profile.counted_quantiles(df, ["a", "b"], probs).collect()}
-    assert counted == pytest.approx(got)
+
+
+def test_exact_quantiles_of_a_million_close_values(spark):
+    """All values share their first 30 bits and differ."""
+    df = spark.range(1_000_000).select((1 + F.col("id") * F.lit(2.0**-45)).alias("x"))
+    got = {r.prob: r.value for r in profile.exact_quantiles(df, ["x"], [0.02, 0.5, 0.98]).collect()}
+    assert got == {p: np.percentile(1 + np.arange(1_000_000) * 2.0**-45, p * 100) for p in (0.02, 0.5, 0.98)}
+
+
+def test_ordered_bits_order_like_the_values(spark):
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.normal(size=300), 10.0 ** rng.uniform(-320, 308, 300), 2.0 ** np.arange(-1074, 1024, 7)])
+    x = np.concatenate([x, -x, np.nextafter(x, 0), [0.0, -0.0, 5e-324, 1.7976931348623157e308, np.inf, -np.inf]])
+    df = spark.createDataFrame([(float(v),) for v in x] + [(None,), (float("nan"),)], "x double")
+    rows = df.select("x", ordered_bits("x").alias("k")).select("x", "k", bits_value("k").alias("back")).collect()
+    assert [r.k for r in rows[-2:]] == [None, None]
+    assert all(r.back == r.x == value_of_bits(r.k) for r in rows[:-2])
+    assert all(abs(r.k) == np.array(abs(r.x)).view(np.int64) for r in rows[:-2])
+
+
+def test_group_medians_of_continuous_columns(spark):
+    """A hot group with many values, groups of one and two rows, null keys and groups without values."""
+    rng = np.random.default_rng(6)
+    rows = [("hot", float(v), int(w)) for v, w in zip(rng.lognormal(0, 3, 8001), rng.integers(1900, 2030, 8001))]
+    rows += [("two", 1.5, 7), ("two", -2.25, None), ("one", float("nan"), 3), (None, 4.0, 5), ("none", None, None)]
+    rows += [(f"g{i % 50}", float(v), i % 7) for i, v in enumerate(rng.normal(size=500))]
+    df = spark.createDataFrame(rows, "g string, x double, y int").repartition(4)
+    got = {r.g: (r._median_x, r._median_y) for r in impute.group_medians(df, ["x", "y"], ["g"]).collect()}
+    groups = {}
+    for g, x, y in rows:
+        if g is not None:
+            groups.setdefault(g, ([], []))
+            for held, v in zip(groups[g], (x, y)):
+                held.extend([] if v is None or v != v else [v])
+    want = {g: tuple(float(np.median(v)) if v else None for v in held) for g, held in groups.items() if any(held)}
+    assert got == {g: pytest.approx(v) for g, v in want.items()}
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp", "string"])
+def test_chronological_split_takes_the_earliest(spark, kind):
+    """A day with most rows, rows without a date, and a cut at any place."""
+    days = [f"2020-{1 + i % 12:02d}-{1 + i % 28:02d}" if i % 3 else "2020-06-15" for i in range(500)]
+    rows = [(i, None if i % 50 == 7 else d) for i, d in enumerate(days)]
+    df = spark.createDataFrame(rows, "id long, d string").withColumn("d", F.col("d").cast(kind))
+    for fraction in (0.0, 0.01, 0.3, 0.5, 0.8, 1.0):
+        got = split.chronological_split(df, "d", "id", fraction).select("id", "split").collect()
+        train = {r.id for r in got if r.split == "train"}
+        assert len(got) == 500 and len(train) == int(500 * fraction)
+        latest = max((rows[i][1] or "" for i in train), default="")
+        assert all((rows[r.id][1] or "") >= latest for r in got if r.split == "test")
 
 
 def test_column_profile(spark):
