@@ -2,26 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landgauge.constants import ADVANCED_FEATURES, BASE_FEATURES, TARGET
 from landgauge.functions import numeric as N
-from landgauge.session import shared_folder
-
-# Stands for a missing feature: far below every real value, so a split can set it apart.
-MISSING = -1.0e6
+from landgauge.operators.boosting import BoostedTrees
 
 
 def model_input(df: DataFrame, features: list[str], target: str | None = None) -> DataFrame:
-    """Features as doubles with missing values marked; other columns are kept."""
-    filled = df.withColumns(
-        {f: F.coalesce(F.col(f).cast("double"), F.lit(MISSING)) for f in features}
-    )
-    return filled.dropna(subset=[target]) if target else filled
+    """Features as doubles, missing ones null; rows without target are left out; other columns are kept."""
+    typed = df.withColumns({f: F.col(f).cast("double") for f in features})
+    return typed.dropna(subset=[target]) if target else typed
 
 
 def advanced_inputs(df: DataFrame) -> DataFrame:
@@ -35,36 +27,17 @@ def advanced_inputs(df: DataFrame) -> DataFrame:
     )
 
 
-def _fit(train: DataFrame, features: list[str], target: str, **params) -> PipelineModel:
-    spark = train.sparkSession
-    folder = shared_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    booster = GBTRegressor(
-        featuresCol="features",
-        labelCol=target,
-        predictionCol="predicted_log",
-        seed=42,
-        cacheNodeIds=True,
-        checkpointInterval=10,
-        **params,
-    )
-    assembler = VectorAssembler(inputCols=features, outputCol="features")
-    return Pipeline(stages=[assembler, booster]).fit(train)
-
-
 def fit_baseline(
     train: DataFrame,
     features: list[str] | None = None,
     target: str = TARGET,
     trees: int = 1_000,
-    depth: int = 6,
+    leaves: int = 63,
     rate: float = 0.05,
-) -> PipelineModel:
-    """Boosted trees on the base features (63 leaves are a depth of 6 here)."""
+) -> BoostedTrees:
+    """Boosted trees on the base features, a fixed number of them, of any depth."""
     features = features or BASE_FEATURES
-    data = model_input(train, features, target)
-    return _fit(data, features, target, maxIter=trees, maxDepth=depth, stepSize=rate)
+    return BoostedTrees.fit(model_input(train, features, target), features, target, trees=trees, leaves=leaves, rate=rate)
 
 
 def fit_advanced(
@@ -72,39 +45,29 @@ def fit_advanced(
     features: list[str] | None = None,
     target: str = TARGET,
     trees: int = 2_000,
-    depth: int = 6,
+    leaves: int = 64,
+    depth: int = 10,
     rate: float = 0.05,
-    tolerance: float = 1e-4,
-) -> PipelineModel:
+    patience: int = 50,
+) -> BoostedTrees:
     """Boosted trees that stop when the validation rows no longer gain.
 
     ``split`` carries a ``split`` column; the stop watches 'validation' and never 'test'.
     """
     features = features or ADVANCED_FEATURES
     seen = split.where(F.col("split").isin("train", "validation"))
-    data = model_input(seen, features, target).withColumn(
-        "is_validation", F.col("split") == "validation"
-    )
-    return _fit(
-        data, features, target,
-        maxIter=trees, maxDepth=depth, stepSize=rate,
-        validationIndicatorCol="is_validation", validationTol=tolerance,
+    data = model_input(seen, features, target).withColumn("is_validation", F.col("split") == "validation")
+    return BoostedTrees.fit(
+        data, features, target, "is_validation", trees=trees, leaves=leaves, depth=depth, rate=rate, patience=patience
     )
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+def predict(model: BoostedTrees, df: DataFrame) -> DataFrame:
     """Add ``predicted_log`` and ``predicted_price`` (per square metre)."""
-    features = model.stages[0].getInputCols()
-    raw = df.withColumns({f"_raw_{f}": F.col(f) for f in features})
-    scored = model.transform(model_input(raw, features)).drop("features")
-    restored = scored.withColumns({f: F.col(f"_raw_{f}") for f in features})
-    return restored.drop(*[f"_raw_{f}" for f in features]).withColumn(
-        "predicted_price", N.price_from_log("predicted_log")
-    )
+    return model.transform(df, "predicted_log").withColumn("predicted_price", N.price_from_log("predicted_log"))
 
 
-def feature_importances(model: PipelineModel, spark) -> DataFrame:
-    """(feature, importance), ascending."""
-    values = model.stages[-1].featureImportances.toArray()
-    rows = [(n, float(v)) for n, v in zip(model.stages[0].getInputCols(), values)]
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy("importance")
+def feature_importances(model: BoostedTrees, spark) -> DataFrame:
+    """(feature, importance, splits), ascending: the share of all gain, and the number of splits that use the feature."""
+    kind = "feature string, importance double, splits long"
+    return spark.createDataFrame(model.importances(), kind).orderBy("importance", "feature")

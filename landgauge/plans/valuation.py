@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landgauge.constants import TARGET
 from landgauge.functions import numeric as N
+from landgauge.operators.boosting import BoostedTrees
 from landgauge.operators.filters import unify_house_type
 from landgauge.operators.impute import parking_means
 from landgauge.operators.metrics import regression_metrics
@@ -32,7 +32,7 @@ class Valuation:
 
     parking: DataFrame
     encoders: FeatureEncoders
-    model: PipelineModel
+    model: BoostedTrees
 
     @classmethod
     def fit(cls, target: DataFrame, row_id: str, **params) -> tuple[Valuation, DataFrame]:
@@ -63,10 +63,10 @@ class Valuation:
         artifacts.save_mapping(self.encoders.means, folder, "means")
         levels = [(i, level) for i, level in enumerate(self.encoders.levels)]
         artifacts.save_mapping(spark.createDataFrame(levels, "place int, level string"), folder, "levels")
-        artifacts.save_model(self.model, f"{folder}/model")
+        artifacts.save_model(self.model, spark, f"{folder}/model")
 
     @classmethod
     def load(cls, spark: SparkSession, folder: str) -> Valuation:
         levels = artifacts.load_mapping(spark, folder, "levels").orderBy("place").collect()
         encoders = FeatureEncoders([r["level"] for r in levels], artifacts.load_mapping(spark, folder, "means"))
-        return cls(artifacts.load_mapping(spark, folder, "parking"), encoders, artifacts.load_model(f"{folder}/model"))
+        return cls(artifacts.load_mapping(spark, folder, "parking"), encoders, artifacts.load_model(spark, f"{folder}/model"))

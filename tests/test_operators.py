@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from landgauge.functions.numeric import bits_value, ordered_bits, value_of_bits
@@ -393,6 +394,19 @@ def test_latent_space_matches_a_dense_decomposition(spark):
     }
 
 
+def test_latent_space_reads_the_rows_a_fixed_number_of_times(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    dense = rng.normal(size=(200, 40)) * (rng.random((200, 40)) < 0.2)
+    rows = [(i, Vectors.sparse(40, [(int(j), float(v[j])) for j in np.flatnonzero(v)])) for i, v in enumerate(dense)]
+    weighted = spark.createDataFrame(rows, ["id", "weights"]).repartition(20, "id")  # merged in more than one round
+    read, real = [], lsa._gathered
+    monkeypatch.setattr(lsa, "_gathered", lambda *a: read.append(a[3]) or real(*a))
+    space = lsa.LatentSpace.fit(weighted, 10, spare=30, passes=6)
+    assert read == ["sum"] * 5 + ["triangle"]
+    assert np.allclose(space.singular_values, np.linalg.svd(dense)[1][:10])
+    assert lsa.LatentSpace.fit(weighted.limit(0), 10).components.shape == (0, 0)
+
+
 def test_model_beats_the_mean_and_keeps_missing_rows(spark):
     rng = np.random.default_rng(0)
     rows = []
@@ -400,7 +414,7 @@ def test_model_beats_the_mean_and_keeps_missing_rows(spark):
         a, b = rng.uniform(0, 10), rng.uniform(0, 1)
         rows.append((i, None if i % 10 == 0 else float(a), float(b), float(np.log1p(100 + 50 * a + 20 * b))))
     df = split.hash_split(spark.createDataFrame(rows, "id long, a double, b double, y double"), "id", 60, 20)
-    fitted = model.fit_advanced(df, ["a", "b"], "y", trees=10, depth=3, rate=0.3)
+    fitted = model.fit_advanced(df, ["a", "b"], "y", trees=30, leaves=8, rate=0.3)
     test = df.where("split = 'test'")
     scored = model.predict(fitted, test)
     assert scored.count() == test.count() and scored.where("a is null").count() > 0
@@ -421,7 +435,7 @@ def test_valuation_serves_as_it_trained(spark, tmp_path):
     ]
     names = "row_id houseType umdNm excluUseAr landAr floor buildYear Age parking_ratio has_elevator total_floors subway_dist land_index"
     target = spark.createDataFrame(rows, [*names.split(), TARGET])
-    fitted, _ = Valuation.fit(target, "row_id", trees=3, depth=3, rate=0.3)
+    fitted, _ = Valuation.fit(target, "row_id", trees=3, leaves=8, rate=0.3)
     raw = target.drop(TARGET)
     first = {r["row_id"]: r["estimated_value"] for r in fitted.value(raw).collect()}
     # One property alone meets the same fill values as among all others.
