@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from landgauge.catalog.registry import query, scratch, table
@@ -10,7 +11,7 @@ from landgauge.catalog.tables import RAW_SQL, REGION_SQL, raw_trades, region_cod
 from landgauge.constants import TRADE_COLUMNS
 from landgauge.operators.encode import LabelEncoder
 from landgauge.operators.land_index import wide_to_long
-from landgauge.sources import artifacts, payloads, tabular, vectors
+from landgauge.sources import artifacts, landings, payloads, tabular, vectors
 
 RAW_COLUMNS_SQL = ", ".join(f"nullif(\"{c}\", '') AS \"{c}\"" for c in TRADE_COLUMNS)
 
@@ -41,6 +42,61 @@ def read_many_files(spark, sf):
     )
 
 
+@query(
+    "s2_landed_again",
+    f"""WITH {RAW_SQL} SELECT "sggCd", "dealYear", "dealMonth", count(*) AS rows,
+          CASE WHEN CAST("dealMonth" AS INTEGER) % 3 = 0 THEN 'third' WHEN CAST("dealMonth" AS INTEGER) % 2 = 0 THEN 'second' ELSE 'first' END AS landing
+        FROM raw GROUP BY ALL""",
+)
+def landed_again(spark, sf):
+    """Three landings that overlap, with an old one landing again, a landing without commit, and a compaction between them."""
+    base = scratch(spark, "s2-landings")
+    raw = raw_trades(spark, sf).select(*TRADE_COLUMNS)
+    month = F.col("dealMonth").cast("int")
+
+    def land(name: str, sequence: int, rows):
+        landings.land_trades(rows.withColumn("landing", F.lit(name)), base, name, sequence)
+
+    land("first", 1, raw)
+    # Parts of what the first landing had, so that rows of it that are left would show.
+    land("second", 2, raw.where(month % 2 == 0))
+    landings.compact_landings(spark, base)
+    land("third", 3, raw.where(month % 3 == 0))
+    land("first", 9, raw)
+    raw.withColumn("landing", F.lit("lost")).withColumn("_sequence", F.lit(99).cast("long")).write.parquet(f"{base}/landing-killed")
+    rows = landings.landed_trades(spark, base)
+    return rows.groupBy("sggCd", "dealYear", "dealMonth", "landing").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query(
+    "s1_reject_broken_lines",
+    f"""WITH {RAW_SQL} SELECT count(*) AS rows, CAST(sum(TRY_CAST("dealYear" AS INTEGER)) AS BIGINT) AS years,
+          count(nullif(jibun, '')) AS lots, 3 * 2 + 2 AS rejected, 4 AS files FROM raw""",
+)
+def reject_broken_lines(spark, sf):
+    """Files with columns in another order, with one more and one less column, with broken lines, and without a header."""
+    path = scratch(spark, "s1-mixed")
+    raw = raw_trades(spark, sf).select(*TRADE_COLUMNS)
+    part = F.pmod(F.xxhash64(*TRADE_COLUMNS), F.lit(3))
+    layouts = [TRADE_COLUMNS, TRADE_COLUMNS[::-1], ["note", *TRADE_COLUMNS]]
+    for k, names in enumerate(layouts):
+        rows = raw.where(part == k).withColumn("note", F.lit("more, and quoted")).select(*names)
+        lines = rows.select(F.to_csv(F.struct(*names), {"quoteAll": "true", "escape": '"'}).alias("value"))
+        broken = spark.createDataFrame([('"half a line"',), ('"a","line","of","five","cells"',)], "value string")
+        head = spark.createDataFrame([(",".join(names),)], "value string")
+        head.unionByName(lines).unionByName(broken).coalesce(1).write.text(f"{path}/layout={k}")
+    spark.createDataFrame([("no header",), ("1,2,3",)], "value string").coalesce(1).write.text(f"{path}/layout=none")
+    rows, rejects = tabular.read_checked(spark, f"{path}/*/*.txt", tabular.TRADE_RAW)
+    kept = rows.agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("dealYear").try_cast("int")).alias("years"),
+        F.count(F.nullif("jibun", F.lit(""))).alias("lots"),
+    )
+    lost = rejects.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("source_file").alias("files"))
+    return kept.withColumns(
+        {"rejected": lost.select(F.col("n").cast("int")).scalar(), "files": lost.select(F.col("files").cast("int")).scalar()}
+    )
+
+
 @query("s3_read_wide_index", _long_sql())
 def read_wide_index(spark, sf):
     path = scratch(spark, "s3")
@@ -289,19 +345,27 @@ def embedding_table(spark, sf):
 
 @query(
     "s14_bounded_parts",
-    """SELECT count(*) AS rows, CAST(sum(vec_id) AS BIGINT) AS ids, true AS bounded,
+    """SELECT count(*) AS rows, CAST(sum(vec_id) AS BIGINT) AS ids, true AS bounded, count(*) AS in_order,
          CAST(ceil(count(*) * 64 * 4 / 40000.0::DOUBLE) AS BIGINT) AS parts FROM embeddings""",
 )
 def bounded_parts(spark, sf):
+    """The files written, their rows, and the rows that come back at the place of their id."""
     path = scratch(spark, "s14")
     rows = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
     parts, per_part = vectors.part_layout(rows.count(), 64, part_bytes=40_000)
-    vectors.write_embeddings(rows, path, rows_per_part=per_part)
-    written = vectors.read_embeddings(spark, path).select("id", F.col("_metadata.file_name").alias("file"))
-    sizes = written.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"))
-    return sizes.agg(
-        F.sum("n").alias("rows"), F.sum("ids").alias("ids"),
-        (F.max("n") <= per_part).alias("bounded"), F.lit(parts).cast("long").alias("parts"),
+    vectors.write_embedding_parts(rows, path, "id", parts)
+    files = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    files = files.agg(F.count("file").alias("parts"), F.max("n").alias("longest"))
+    again = vectors.read_embedding_parts(spark, path).select("id", "row")
+    placed = again.withColumn("wanted", F.row_number().over(Window.orderBy("id")) - 1)
+    back = placed.agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("id").alias("ids"), F.count_if(F.col("row") == F.col("wanted")).alias("in_order")
+    )
+    return back.withColumns(
+        {
+            "bounded": files.select(F.col("longest") <= per_part).scalar(),
+            "parts": files.select(F.col("parts").cast("long")).scalar(),
+        }
     )
 
 

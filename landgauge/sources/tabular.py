@@ -37,6 +37,42 @@ def read_trades(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return read_csv(spark, paths, TRADE_RAW).withColumn("source_file", F.col("_metadata.file_name"))
 
 
+def read_checked(
+    spark: SparkSession, paths: str | list[str], schema: T.StructType, encoding: str = "UTF-8"
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of CSV files that each name their columns in a header of their own, whatever its order.
+
+    A header is the first line of a file that holds most of the schema's names; columns beyond the schema are left out, and those a file
+    lacks are null. Files of the same header are read together. Lines with another number of cells than their header,
+    and all lines of files without one, come back as they are: (source_file, record).
+    """
+    lines = spark.read.option("encoding", encoding).text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", "^\ufeff", "").alias("value")
+    )
+    names = F.array(*[F.lit(n) for n in schema.names])
+    cells = F.transform(F.split("value", ","), lambda c: F.trim(c, F.lit('" ')))
+    known = F.size(F.array_intersect(cells, names))
+    header = F.when(known * 2 > len(schema.names), F.col("value"))
+    files = lines.groupBy("path").agg(F.max(header).alias("header"))
+    heads = [r["header"] for r in files.select("header").distinct().collect()]  # the layouts, not the files
+    named = lines.join(files, "path").withColumn("source_file", F.element_at(F.split("path", "/"), -1))
+    rows, rejects = None, named.where(F.col("header").isNull()).select("source_file", F.col("value").alias("record"))
+    for head in sorted(h for h in heads if h is not None):
+        own = [c.strip('" ') for c in head.split(",")]
+        layout = ", ".join([*[f"c{i} string" for i in range(len(own))], "_broken string"])
+        options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
+        body = named.where((F.col("header") == head) & (F.col("value") != head) & (F.col("value") != ""))
+        read = body.select("source_file", F.from_csv("value", F.lit(layout), options).alias("r"))
+        place = {c: i for i, c in enumerate(own)}
+        picked = [F.col(f"r.c{place[n]}").alias(n) if n in place else F.lit(None).cast("string").alias(n) for n in schema.names]
+        good = read.where(F.col("r._broken").isNull()).select(*picked, "source_file")
+        rows = good if rows is None else rows.unionByName(good)
+        rejects = rejects.unionByName(read.where(F.col("r._broken").isNotNull()).select("source_file", F.col("r._broken").alias("record")))
+    if rows is None:
+        rows = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("source_file", T.StringType())]))
+    return rows, rejects
+
+
 def read_wide_index(
     spark: SparkSession, paths: str | list[str], encoding: str = "UTF-8"
 ) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from landgauge.constants import TRADE_COLUMNS
 from landgauge.operators.land_index import wide_to_long
-from landgauge.sources import payloads, tabular, vectors
+from landgauge.sources import commits, landings, payloads, tabular, vectors
 from landgauge.streaming import ingest
 
 
@@ -176,3 +176,75 @@ def test_blank_deal_day_is_null(spark):
     rows = spark.createDataFrame([("11110", "2001", "10.5", "", "3", "2020", "", "", "1,000")], names)
     got = typed_trades(rows).first()
     assert (got["dealYear"], got["dealMonth"], got["dealDay"], got["dealAmount"]) == (2020, None, None, 1000)
+
+
+def test_killed_batches_are_not_read_and_compaction_changes_nothing(spark, tmp_path):
+    landed, out, checkpoint = (str(tmp_path / n) for n in ("landed", "out", "cp"))
+    (tmp_path / "landed").mkdir()
+
+    def land(name, rows):
+        (tmp_path / "landed" / name).write_text("\n".join(json.dumps(r) for r in rows))
+
+    def rows():
+        return {(r.k, r.v) for r in ingest.results(spark, out, ["k"], version=["v"]).collect()}
+
+    land("1.json", [{"k": "a", "status": "ok", "v": 5}, {"k": "b", "status": "quota", "v": 1}])
+    ingest.ingest(spark, landed, SCHEMA, lambda df: df, out, checkpoint)
+    # An attempt that wrote and never came to its commit.
+    half = spark.createDataFrame([("a", "ok", 99)], SCHEMA).withColumn("taken_in", F.current_timestamp())
+    half.write.parquet(f"{out}/accepted/run=x/batch_id=7/attempt=killed")
+    assert rows() == {("a", 5)}
+    # An older answer that lands later does not win where versions tell.
+    land("2.json", [{"k": "a", "status": "ok", "v": 3}, {"k": "c", "status": "ok", "v": 1}])
+    ingest.ingest(spark, landed, SCHEMA, lambda df: df, out, checkpoint)
+    assert rows() == {("a", 5), ("c", 1)}
+    log = commits.CommitLog(spark, f"{out}/_commits")
+    assert len(log.live()) == 2
+    before = sorted(map(str, ingest.committed(spark, out).select("k", "v", "run", "batch_id").collect()))
+    assert ingest.compact(spark, out) in log.live() and len(log.live()) == 1
+    assert sorted(map(str, ingest.committed(spark, out).select("k", "v", "run", "batch_id").collect())) == before
+    assert ingest.committed(spark, out, "rejected").count() == 1
+    land("3.json", [{"k": "c", "status": "ok", "v": 2}])
+    ingest.ingest(spark, landed, SCHEMA, lambda df: df, out, checkpoint)
+    assert rows() == {("a", 5), ("c", 2)}
+    assert ingest.compact(spark, out) is not None and rows() == {("a", 5), ("c", 2)}
+
+
+def test_a_name_is_committed_once(spark, tmp_path):
+    log = commits.CommitLog(spark, str(tmp_path / "log"))
+    assert log.live() == {}
+    assert log.commit("one", "f1") and not log.commit("one", "f2")
+    assert log.commit("two", "f3", ["one"])
+    assert log.live() == {"two": "f3"}
+
+
+def test_the_newest_landing_replaces_a_month(spark, tmp_path):
+    kind = "sggCd string, dealYear string, dealMonth string, price int"
+    base = str(tmp_path / "trades")
+    assert landings.landed_trades(spark, base) is None
+    first = [("1", "2024", "1", 10), ("1", "2024", "1", 10), ("1", "2024", "2", 20), (None, "2024", "1", 5)]
+    assert landings.land_trades(spark.createDataFrame(first, kind), base, "a", 1)
+    assert not landings.land_trades(spark.createDataFrame(first, kind), base, "a", 7)
+    again = [("1", "2024", "1", 11), ("1", "2024", "1", 11), ("1", "2024", "1", 12)]
+    assert landings.land_trades(spark.createDataFrame(again, kind), base, "b", 2)
+    want = sorted(map(str, [("1", "2024", "1", 11), ("1", "2024", "1", 11), ("1", "2024", "1", 12), ("1", "2024", "2", 20), (None, "2024", "1", 5)]))
+
+    def held():
+        return sorted(str(tuple(r)) for r in landings.landed_trades(spark, base).collect())
+
+    assert held() == want
+    landings.compact_landings(spark, base)
+    assert held() == want
+    log = commits.CommitLog(spark, f"{base}/_commits")
+    assert len(log.live()) == 1 and log.vacuum(base) == 2 and held() == want
+
+
+def test_embedding_parts_keep_the_order(spark, tmp_path):
+    for n, parts in ((10, 3), (7, 7), (5, 8), (1000, 4)):
+        path = str(tmp_path / f"e{n}")
+        rows = spark.range(n).select((F.col("id") * 7 % n * 3).alias("id"), F.array(F.col("id").cast("float")).alias("embedding"))
+        vectors.write_embedding_parts(rows.repartition(5), path, "id", parts)
+        back = vectors.read_embedding_parts(spark, path).orderBy("row").collect()
+        assert [r.row for r in back] == list(range(n))
+        assert [r.id for r in back] == sorted(r.id for r in back) and len({r.part for r in back}) == min(parts, -(-n // -(-n // parts)))
+        assert len(list((tmp_path / f"e{n}").glob("part=*/*.parquet"))) == len({r.part for r in back})
