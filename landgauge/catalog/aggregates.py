@@ -54,8 +54,11 @@ def newest_index(spark, sf):
     FROM typed WHERE "umdNm" IS NOT NULL GROUP BY 1""",
 )
 def group_median(spark, sf):
-    stats = {"build": F.median("buildYear"), "floor": F.median("floor"), "age": F.median("Age")}
-    return impute.group_stat(_typed(spark, sf), ["umdNm"], stats)
+    names = {"buildYear": "build", "floor": "floor", "Age": "age"}
+    typed = _typed(spark, sf)
+    medians = impute.group_medians(typed, list(names), ["umdNm"])
+    every = typed.dropna(subset=["umdNm"]).select("umdNm").distinct().join(medians, "umdNm", "left")
+    return every.select("umdNm", *[F.col(f"_median_{c}").alias(n) for c, n in names.items()])
 
 
 @query(

@@ -10,6 +10,7 @@ from landgauge.catalog.tables import RAW_SQL, TYPED_SQL, raw_trades
 from landgauge.constants import BASE_FEATURES
 from landgauge.operators import filters as O
 from landgauge.operators import profile
+from landgauge.operators.model import model_input
 from landgauge.operators.regions import mapped_or_same
 from landgauge.plans.trades import typed_trades
 
@@ -102,7 +103,7 @@ def reshape_columns(spark, sf):
 def model_projection(spark, sf):
     rows = listings(spark, sf)
     present = [c for c in BASE_FEATURES if c in rows.columns]
-    return rows.select(*KEYS, *[F.col(c).cast("double").alias(c) for c in present])
+    return model_input(rows, present).select(*KEYS, *present)
 
 
 @query(

@@ -9,7 +9,7 @@ from landgauge.catalog.aggregates import rounded
 from landgauge.catalog.joins import index, landed
 from landgauge.catalog.registry import query, table
 from landgauge.catalog.tables import ADJUSTED_SQL, INDEX_SQL, REGION_SQL, TRADES_SQL, raw_trades, wide_index
-from landgauge.operators import land_index, lookups, similar, split
+from landgauge.operators import filters, land_index, lookups, similar, split
 from landgauge.plans.trades import typed_trades
 
 
@@ -108,7 +108,7 @@ def top_n(spark, sf):
 def row_by_id(spark, sf):
     wanted = table(spark, sf, "lineitem").agg(F.max("l_orderkey")).scalar()
     orders = table(spark, sf, "orders")
-    return orders.where(F.col("o_orderkey") == wanted).select("o_orderkey", "o_totalprice", "o_custkey")
+    return filters.row_by_id(orders, "o_orderkey", wanted).select("o_orderkey", "o_totalprice", "o_custkey")
 
 
 def _long_sql(extra: str = "") -> str:

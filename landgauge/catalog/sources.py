@@ -11,6 +11,7 @@ from landgauge.catalog.tables import RAW_SQL, REGION_SQL, raw_trades, region_cod
 from landgauge.constants import TRADE_COLUMNS
 from landgauge.operators.encode import LabelEncoder
 from landgauge.operators.land_index import wide_to_long
+from landgauge.operators.metrics import regression_metrics
 from landgauge.sources import artifacts, landings, payloads, tabular, vectors
 
 RAW_COLUMNS_SQL = ", ".join(f"nullif(\"{c}\", '') AS \"{c}\"" for c in TRADE_COLUMNS)
@@ -281,6 +282,20 @@ def place_payload(spark, sf):
     ).select("c_custkey", "subway_name", "subway_dist")
 
 
+@query(
+    "s8_place_quota",
+    f"""WITH {GEOCODE_SQL} SELECT c_custkey, error IS NULL AS located,
+      CASE WHEN error IS NULL AND c_custkey % 7 = 3 THEN 'API_LIMIT_REACHED' ELSE error END AS error FROM answers""",
+)
+def place_quota(spark, sf):
+    """A used-up quota of the place call is the row's error; other failures of it are not. Coordinates stay."""
+    failed = F.when(F.col("c_custkey") % 7 == 3, "API_LIMIT_REACHED").when(F.col("c_custkey") % 7 == 4, "API_ERROR_500")
+    answers = geocode_answers(spark, sf).withColumn("place_error", failed)
+    answers = answers.withColumn("place", F.when(failed.isNull(), F.col("place")))
+    found = payloads.parse_geocode_answers(answers, place_payload="place", call_error="call_error", place_error="place_error")
+    return found.select("c_custkey", F.col("lat").isNotNull().alias("located"), "error")
+
+
 @query(
     "s9_legal_dong_payload",
     """SELECT sgg, "umdNm", max(bjdong) AS bjdong FROM (
@@ -383,12 +398,20 @@ def saved_encoder(spark, sf):
 
 @query(
     "s16_metric_rows",
-    """SELECT count(*) AS rows, round(avg(o_totalprice), 4) AS mean_price FROM orders""",
+    """WITH p AS (SELECT CAST(o_totalprice AS DOUBLE) AS y, CAST(o_totalprice AS DOUBLE) * (90 + o_orderkey % 20) / 100 AS p,
+         o_orderkey % 2 AS run FROM orders)
+       SELECT 'run' || run AS run, count(*) AS rows, round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS r2,
+         round(avg(abs(y - p)), 4) AS mae, round(avg(abs((y - p) / y)) * 100, 6) AS mape FROM p GROUP BY run""",
 )
 def metric_rows(spark, sf):
+    """The metric rows of two runs, appended to one report table and read back."""
     path = scratch(spark, "s16")
-    row = table(spark, sf, "orders").agg(
-        F.count(F.lit(1)).alias("rows"), F.round(F.avg("o_totalprice"), 4).alias("mean_price")
+    y = F.col("o_totalprice").cast("double")
+    scored = table(spark, sf, "orders").select(
+        "o_orderkey", y.alias("y"), (y * (90 + F.col("o_orderkey") % 20) / 100).alias("p")
     )
-    artifacts.write_metrics(row, path)
-    return spark.read.parquet(path)
+    for run in (0, 1):
+        row = regression_metrics(scored.where(F.col("o_orderkey") % 2 == run), "y", "p")
+        artifacts.write_metrics(row.withColumn("run", F.lit(f"run{run}")), path)
+    rows = spark.read.parquet(path)
+    return rows.select("run", "rows", F.round("r2", 6).alias("r2"), F.round("mae", 4).alias("mae"), F.round("mape", 6).alias("mape"))

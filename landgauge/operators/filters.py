@@ -50,6 +50,11 @@ def within_quantiles(
     return df.where(F.col(column).between(edge.get(lower), edge.get(upper)))
 
 
+def row_by_id(df: DataFrame, row_id: str, value) -> DataFrame:
+    """The rows of one id, a literal or a one-value subquery; a null id has none."""
+    return df.where(F.col(row_id) == value)
+
+
 def complete_on(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.dropna(subset=columns)
 

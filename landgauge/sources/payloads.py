@@ -33,6 +33,9 @@ ANSWER_ROOT, GATEWAY_ROOT = "response", "OpenAPI_ServiceResponse"
 # Fixed value: rows asked for per request; a full answer may have been cut.
 REQUEST_ROWS = 9_999
 
+# Fixed value: the error of a call beyond the day's quota.
+LIMIT_REACHED = "API_LIMIT_REACHED"
+
 
 def _has_root(c: Column, name: str) -> Column:
     """Whether a text is one whole element of this name, behind an XML declaration at most."""
@@ -137,11 +140,13 @@ def parse_geocode_answers(
     payload: str = "payload",
     place_payload: str | None = None,
     call_error: str | None = None,
+    place_error: str | None = None,
 ) -> DataFrame:
     """lat, lng and ``error`` of the first document, plus the nearest place when given.
 
-    ``call_error`` names a column with the error of a call that brought no answer. Failures of
-    the place answer are swallowed: they never cost a row its coordinates.
+    ``call_error`` and ``place_error`` name columns with the error of a call that brought no answer. Failures of the place answer are
+    swallowed: they never cost a row its coordinates. Only a used-up quota is reported, beside the coordinates, so that the
+    row is asked for again.
     """
     first = F.get(F.col("_answer.documents"), F.lit(0))
     out = df.withColumn("_answer", F.from_json(F.col(payload), GEOCODE_PAYLOAD))
@@ -169,7 +174,10 @@ def parse_geocode_answers(
             F.when(good, place["place_name"]).alias("subway_name"),
             F.when(good, P.lenient_double(place["distance"])).alias("subway_dist"),
         ]
-    return out.select(*columns, "error")
+    reported = F.col("error")
+    if place_error:
+        reported = F.when(good & (F.col(place_error) == LIMIT_REACHED), LIMIT_REACHED).otherwise(reported)
+    return out.select(*columns, reported.alias("error"))
 
 
 def legal_dong_codes(df: DataFrame, sgg: str = "sgg", payload: str = "payload") -> DataFrame:

@@ -1,4 +1,4 @@
-"""Compare catalog queries with their SQL form: ``python tests/compare.py SF_DIR [name part ...]``."""
+"""Compare all queries with their SQL form: ``python tests/compare.py SF_DIR [name part ...]``."""
 
 from __future__ import annotations
 
@@ -63,13 +63,13 @@ def difference(spark_df: pd.DataFrame, sql_df: pd.DataFrame) -> str | None:
 
 
 def main() -> None:
-    from landgauge import catalog
+    import __spark_entry__
     from landgauge.session import local_session
 
     sf_dir, parts = sys.argv[1], sys.argv[2:]
     spark = local_session(8)
     spark.sparkContext.setLogLevel("ERROR")
-    queries, oracles = catalog.load()
+    queries, oracles = __spark_entry__.queries(), __spark_entry__.oracle_sql()
     failed = 0
     for name, fn in queries.items():
         if parts and not any(name.startswith(p) for p in parts):
