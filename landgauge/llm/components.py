@@ -22,6 +22,14 @@ def star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where(F.col("u") != F.col("v")).distinct()
 
 
+def nearby_labels(edges: DataFrame) -> DataFrame:
+    """(id, label) after one turn of the stars: nodes of one label are connected, but connected ones may have several."""
+    hung = star(star(edges.where(F.col("u") != F.col("v")).select("u", "v").distinct(), True), False)
+    both = hung.select(F.col("u").alias("id"), F.col("v").alias("label"))
+    both = both.unionByName(hung.select(F.col("v").alias("id"), F.col("v").alias("label")))
+    return stored(both.groupBy("id").agg(F.min("label").alias("label")), "labels")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, label): label is the smallest id of the component; ids without an edge are left out.
 

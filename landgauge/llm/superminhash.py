@@ -6,9 +6,11 @@
 * Documents with the same set are one class from the start, however many they are.
 * Classes meet in bands of the signature. In each bucket all are compared with one of them, first with the one that meets most
   others (the original of many copies), then with another, some rounds long; those that are in one component by then need no
-  more. Of the others, pairs are compared that share a shingle their bucket's centre lacks, or that both lie in the centre
-  for the share asked for; no other pair can be a link. So tight groups of any size, and large ones around a common passage,
-  cost a few comparisons per member, and no link is given up.
+  more. Of the classes left in buckets of several components, those are compared that share a rare shingle: with all shingles
+  ordered by how many of these classes hold them, a link shares one of the first few of both sets, however many are
+  shared by all. Holders of such a shingle are compared with one of them first, round by round; then, of what is still
+  apart, the pairs whose sizes and places leave the similarity possible. No link is given up, tight groups of any size cost a
+  few comparisons per member, and classes that share a common passage and differ elsewhere make no pairs.
 * A pair is a link if the Jaccard similarity of the full sets of shingles is at least the threshold. Labels of connected
   documents are found by stars in Spark.
 
@@ -21,14 +23,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from landgauge.llm import bytesops as B
-from landgauge.llm.common import lists, mapped, pieces, stored, table, utf8
-from landgauge.llm.components import components
+from landgauge.llm.common import discard, lists, mapped, pieces, stored, table, utf8
+from landgauge.llm.components import components, nearby_labels
 
-#: Rounds in which buckets are compared with one member each, before the rest is compared in full.
+#: Rounds in which buckets, and then holders of rare shingles, are compared with one member each, before the rest is compared in full.
 STAR_ROUNDS = 2
 
 
@@ -138,44 +140,58 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
     return mapped(docs, work, "id long, shingles array<long>")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) that are links, compared on their full sets."""
-    needed = stored(pairs.select("u").union(pairs.select("v")).distinct().toDF("id"), "pair-ids")
-    sets = stored(full_sets(docs.join(needed, "id").dropDuplicates(["id"]), width), "sets")
-    second = pairs.join(sets.toDF("v", "b"), "v")
-    both = second.join(sets.toDF("u", "a"), "u")
+    second = pairs.join(sets.select(F.col("id").alias("v"), F.col("shingles").alias("b")), "v")
+    both = second.join(sets.select(F.col("id").alias("u"), F.col("shingles").alias("a")), "u")
     common = F.size(F.array_intersect("a", "b")).alias("common")
     measured = both.select("u", "v", common, (F.size("a") + F.size("b")).alias("total"))
     # 100 * intersection >= percent * union, in whole numbers.
     return measured.where(100 * F.col("common") >= percent * (F.col("total") - F.col("common"))).select("u", "v")
 
 
-def remaining(open_rows: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Of members that share a bucket and are in different components: the pairs (u, v) that may be links.
+def rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """(s, id, n, at, short): the shingles by which a link to each set can be found, with their places in the common order.
 
-    Each bucket has a centre c. A shingle of a member that c lacks is private. A pair that shares no private shingle has all
-    it shares in c, and then the similarity asked for needs each of the two to have that share of its own set in c.
-    So a pair is left out only if it shares no private shingle and one of the two lies in c by less.
+    Two sets that are links share a shingle that is among the first n - ceil(t n) + 1 of the larger and the first
+    n - ceil(2 t n / (1 + t)) + 1 of the smaller one (``short`` marks those), t being the similarity. Shingles of one set only come
+    first in the order and are left out.
     """
-    centre = open_rows.groupBy("band").agg(F.max_by("id", F.struct("met", F.bitwise_not("id"))).alias("c"))
-    near = stored(open_rows.join(centre, "band").select("band", "id", "label", "c"), "near")
-    needed = stored(near.select("id").distinct(), "open-ids")
-    sets = stored(full_sets(docs.join(needed, "id").dropDuplicates(["id"]), width), "sets")
-    both = near.select("id", "c", "label").distinct().join(sets.toDF("c", "centre"), "c").join(sets.toDF("id", "own"), "id")
-    both = both.select("id", "c", "label", F.size("own").alias("n"), F.array_except("own", "centre").alias("private"))
-    both = stored(both, "private")
-    inside = both.where(100 * (F.col("n") - F.size("private")) >= percent * F.col("n")).select("id", "c").distinct()
-    inside = near.join(inside, ["id", "c"])
-    one = inside.select("band", F.col("id").alias("u"), F.col("label").alias("lu"))
-    two = inside.select("band", F.col("id").alias("v"), F.col("label").alias("lv"))
-    apart = (F.col("u") > F.col("v")) & (F.col("lu") != F.col("lv"))
-    held = one.join(two, "band").where(apart).select("u", "v")
-    rows = both.select("c", "id", "label", F.explode("private").alias("s"))
-    shared = rows.groupBy("c", "s").agg(F.count("*").alias("rows")).where(F.col("rows") > 1).select("c", "s")
-    rows = stored(rows.join(shared, ["c", "s"]), "shared-private")
-    one = rows.select("c", "s", F.col("id").alias("u"), F.col("label").alias("lu"))
-    two = rows.select("c", "s", F.col("id").alias("v"), F.col("label").alias("lv"))
-    return held.unionByName(one.join(two, ["c", "s"]).where(apart).select("u", "v"))
+    each = sets.select("id", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("s"))
+    held = each.groupBy("s").agg(F.count("*").alias("sets")).where(F.col("sets") > 1)
+    shared = each.join(held, "s")
+    of_set = Window.partitionBy("id")
+    place = F.row_number().over(of_set.orderBy("sets", "s")) - 1
+    own = F.col("n") - F.count("*").over(of_set)
+    placed = shared.select("s", "id", "n", (own + place).cast("long").alias("at"))
+    long = F.col("n") - F.expr(f"({percent} * n + 99) div 100") + 1
+    short = F.col("n") - F.expr(f"(2 * {percent} * n + {99 + percent}) div {100 + percent}") + 1
+    return placed.where(F.col("at") < long).withColumn("short", F.col("at") < short)
+
+
+def possible_pairs(rare: DataFrame, percent: int) -> DataFrame:
+    """(u, v): holders of a rare shingle in different components whose sizes and places allow the similarity."""
+    small = rare.where("short").select("s", F.col("id").alias("u"), F.col("n").alias("nu"), F.col("at").alias("au"), F.col("label").alias("lu"))
+    large = rare.select("s", F.col("id").alias("v"), F.col("n").alias("nv"), F.col("at").alias("av"), F.col("label").alias("lv"))
+    ordered = (F.col("nu") < F.col("nv")) | ((F.col("nu") == F.col("nv")) & (F.col("u") < F.col("v")))
+    sized = 100 * F.col("nu") >= percent * F.col("nv")
+    # What both have from here on, if this is the first shingle they share.
+    left = F.least(F.col("nu") - F.col("au"), F.col("nv") - F.col("av"))
+    placed = (100 + percent) * left >= percent * (F.col("nu") + F.col("nv"))
+    return small.join(large, "s").where((F.col("lu") != F.col("lv")) & ordered & sized & placed).select("u", "v").distinct()
+
+
+def mixed(rows: DataFrame, key: str) -> DataFrame:
+    """The rows of groups with more than one label."""
+    groups = rows.groupBy(key).agg(F.min("label").alias("a"), F.max("label").alias("b")).where(F.col("a") != F.col("b"))
+    return rows.join(groups.select(key), key)
+
+
+def star_pairs(rows: DataFrame, key: str, rank: Column) -> DataFrame:
+    """(u, v): the members of each group of ``key`` with the one of largest rank, if their labels differ."""
+    centre = rows.groupBy(key).agg(F.max_by(F.struct("id", "label"), rank).alias("centre"))
+    met = rows.join(centre, key).where(F.col("label") != F.col("centre.label"))
+    return met.select(F.col("id").alias("u"), F.col("centre.id").alias("v"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 30, rows: int = 4) -> DataFrame:
@@ -199,8 +215,7 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
     members = stored(members.drop("n").join(met, "id"), "members")
     sizes = members.select("id", "n_shingles").distinct()
     none = members.select(F.col("id").alias("u"), F.col("id").alias("v")).limit(0)
-    done, labels = none, none.toDF("id", "label")
-    open_rows = members.withColumn("label", F.col("id"))
+    done, links, labels = none, none, none.toDF("id", "label")
 
     def likely(pairs: DataFrame) -> DataFrame:
         """New pairs whose sizes leave the similarity possible."""
@@ -210,30 +225,53 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
         joined = pairs.join(done, ["u", "v"], "left_anti").join(left, "u").join(right, "v")
         return joined.where(100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv")).select("u", "v")
 
-    turn = 0
-    while True:
-        if turn < STAR_ROUNDS:
-            # All members of a bucket meet one of them, another one each round.
-            rank = F.struct("met", F.bitwise_not("id")) if turn == 0 else F.struct(F.xxhash64("id", "band", F.lit(turn)), F.col("id"))
-            centre = open_rows.groupBy("band").agg(F.max_by(F.struct("id", "label"), rank).alias("centre"))
-            met_now = open_rows.join(centre, "band").where(F.col("label") != F.col("centre.label"))
-            pairs = met_now.select(F.col("id").alias("u"), F.col("centre.id").alias("v"))
-        else:
-            pairs = remaining(open_rows, docs, width, percent)
+    def labelled(rows: DataFrame) -> DataFrame:
+        return rows.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+
+    def link(pairs: DataFrame, sets: DataFrame | None = None) -> None:
+        """Compare the pairs that are new, and label what they connect: enough to leave out pairs, exact only at the end."""
+        nonlocal done, labels, links
         pairs = stored(likely(pairs), "pairs")
-        new = stored(verified(pairs, docs, width, percent), "links")
+        if pairs.isEmpty():
+            return
+        held = sets
+        if held is None:
+            needed = pairs.select("u").union(pairs.select("v")).distinct().toDF("id")
+            held = stored(full_sets(docs.join(stored(needed, "pair-ids"), "id").dropDuplicates(["id"]), width), "sets")
+        new = stored(verified(pairs, held, percent), "links")
+        if sets is None:
+            discard(held)
         if not new.isEmpty():
-            labels = components(labels.toDF("u", "v").unionByName(new))
-        if turn == STAR_ROUNDS:
-            break
+            labels, links = nearby_labels(labels.toDF("u", "v").unionByName(new)), links.unionByName(new)
         done = done.unionByName(pairs)
-        labelled = members.join(labels, "id", "left").select("band", "id", "met", F.coalesce("label", "id").alias("label"))
-        mixed = labelled.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b")).where(F.col("a") != F.col("b"))
-        open_rows = stored(labelled.join(mixed.select("band"), "band"), "open")
+
+    def rank(turn: int, key: str) -> Column:
+        return F.struct(F.xxhash64("id", key, F.lit(turn)), F.col("id"))
+
+    open_rows = members.withColumn("label", F.col("id"))
+    for turn in range(STAR_ROUNDS):
+        if turn:
+            open_rows = stored(mixed(labelled(members), "band"), "open")
         if open_rows.isEmpty():
             break
-        turn += 1
-    labels = labels.withColumnRenamed("id", "head")
+        link(star_pairs(open_rows, "band", rank(turn, "band") if turn else F.struct("met", F.bitwise_not("id"))))
+    open_ids = stored(mixed(labelled(members), "band").select("id").distinct(), "open-ids")
+    if not open_ids.isEmpty():
+        sets = stored(full_sets(docs.join(open_ids, "id").dropDuplicates(["id"]), width), "sets")
+        rare = stored(rare_shingles(sets, percent), "rare-shingles")
+        for turn in range(STAR_ROUNDS + 1):
+            apart = stored(mixed(labelled(rare), "s"), "apart")
+            if apart.isEmpty():
+                break
+            if turn < STAR_ROUNDS:
+                # One id is the centre wherever it ranks first, so neighbouring shingles ask for the same pairs.
+                link(star_pairs(apart, "s", F.struct(F.xxhash64("id", F.lit(turn)), F.col("id"))), sets)
+            else:
+                link(possible_pairs(apart, percent), sets)
+            discard(apart)
+        discard(rare)
+        discard(sets)
+    labels = components(links).withColumnRenamed("id", "head")
     firsts = classes.join(labels, "head").groupBy("label").agg(F.min("first").alias("least"))
     named = classes.join(labels, "head", "left").join(stored(firsts, "firsts"), "label", "left")
     named = named.select(*same, F.coalesce("least", "first").alias("first"))
