@@ -38,7 +38,7 @@ class PrefixCounter:
         usable = [i for i in range(m.get_piece_size()) if not (m.is_control(i) or m.is_unknown(i) or m.is_byte(i))]
         #: A piece's rank is its score; merges of higher scores come first.
         self.score = {m.id_to_piece(i): m.get_score(i) for i in usable}
-        #: Lengths of the pieces by their last two characters, longest first.
+        #: Lengths of the pieces by their last three characters (two where there are no three), longest first.
         lengths: dict[str, set[int]] = {}
         #: Whether two bytes, side by side in a text, always belong to different pieces.
         self.apart = np.zeros((256, 256), bool)
@@ -46,18 +46,22 @@ class PrefixCounter:
         self.apart[128:, 32] = True
         self.apart[MARK.encode()[-1], 32] = False  # the mark itself in a text is as good as a blank
         for p in self.score:
-            lengths.setdefault(p[-2:], set()).add(len(p))
+            lengths.setdefault(p[-3:], set()).add(len(p))
             plain = p.replace(MARK, " ")
             for x, y in zip(plain, plain[1:]):
                 if ord(x) < 128 and ord(y) < 128:
                     self.apart[ord(x), ord(y)] = False
                 elif y == " ":
                     self.apart[128:, 32] = False
-        self.lengths = {k: tuple(sorted(v | {1}, reverse=True)) for k, v in lengths.items()}
+        pairs = {k for k in lengths if len(k) == 2}
+        self.lengths = {k: (2, 1) for k in pairs}
+        for k, v in lengths.items():
+            if len(k) == 3:
+                self.lengths[k] = tuple(sorted(v | ({2, 1} if k[1:] in pairs else {1}), reverse=True))
         self.ends: dict[str, tuple[list[str], list[str]] | None] = {}
         self.follows: dict[tuple[str, str], bool] = {}
-        #: Token counts by hash of the segment.
-        self.known: dict[int, int] = {}
+        #: Token counts of segments, sorted by the segments' hashes.
+        self.names, self.counts = np.empty(0, np.uint64), np.empty(0, np.int64)
 
     def grow(self, piece: str) -> tuple[list[str], list[str]] | None:
         """How the piece's left and right ends grow, from one character to the whole; None if merging never
@@ -122,7 +126,12 @@ class PrefixCounter:
                 same += 1
             del counts[same + 1 :], last[same + 1 :]
             for end in range(same + 1, len(text) + 1):
-                for n in lengths.get(text[end - 2 : end] if end > 1 else text[:1], (1,)):
+                tail = lengths.get(text[end - 3 : end] if end > 2 else text[:end])
+                if tail is None:
+                    tail = lengths.get(text[end - 2 : end], (1,)) if end > 2 else (1,)
+                    if len(lengths) < KEPT:
+                        lengths[text[max(0, end - 3) : end]] = tail
+                for n in tail:
                     start = end - n
                     if start < 0:
                         continue
@@ -168,23 +177,28 @@ class PrefixCounter:
         ranked = hashes[order]
         new = np.ones(len(ranked), bool)
         new[1:] = ranked[1:] != ranked[:-1]
-        if len(self.known) > KEPT:
-            self.known.clear()
-        distinct, example = ranked[new].tolist(), order[new]
-        found = list(map(self.known.get, distinct))
-        missing = [i for i, n in enumerate(found) if n is None]
-        if missing:
+        if len(self.names) > KEPT:
+            self.names, self.counts = self.names[:0], self.counts[:0]
+        distinct, example = ranked[new], order[new]
+        at = np.searchsorted(self.names, distinct)
+        held = np.append(self.names, np.uint64(0))[at] == distinct
+        held &= at < len(self.names)
+        found = np.append(self.counts, 0)[np.where(held, at, -1)]
+        missing = np.flatnonzero(~held)
+        if len(missing):
             raw = out.tobytes()
             # Segments with a blank and with the mark for it differ in bytes, but are one text to the model.
             place: dict[str, list[int]] = {}
-            for i in missing:
-                at = example[i]
-                place.setdefault(raw[starts[at] : ends[at]].decode().replace(" ", MARK), []).append(i)
+            first, last = starts[example[missing]].tolist(), ends[example[missing]].tolist()
+            for i, a, z in zip(missing.tolist(), first, last):
+                place.setdefault(raw[a:z].decode().replace(" ", MARK), []).append(i)
             for text, counts in self.solve(sorted(place)):
                 for i in place[text]:
-                    found[i] = self.known[distinct[i]] = counts[-1]
+                    found[i] = counts[-1]
+            self.names = np.insert(self.names, at[missing], distinct[missing])
+            self.counts = np.insert(self.counts, at[missing], found[missing])
         each = np.empty(len(starts), np.int64)
-        each[order] = np.asarray(found, np.int64)[np.cumsum(new) - 1] if len(ranked) else 0
+        each[order] = found[np.cumsum(new) - 1] if len(ranked) else 0
         sums = np.concatenate([[0], np.cumsum(each)])
         shift = np.concatenate([[0], np.cumsum(np.diff(offsets) > 0)])
         at = np.searchsorted(starts, offsets + shift)
