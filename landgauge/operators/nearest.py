@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from landgauge.constants import EARTH_RADIUS_M
 from landgauge.functions import numeric as N
 from landgauge.operators.filters import complete_on
-from landgauge.session import measured
+from landgauge.session import measured, spread
 
 # Above this many stations the grid plan is cheaper than scanning the list on every row.
 LIST_LIMIT = 256
@@ -91,7 +91,8 @@ def nearest_by_grid(points: DataFrame, stations: DataFrame, name: str) -> DataFr
     Of these a cell keeps the stations that are nearest to some place inside it, and its points are
     compared with those alone.
     """
-    located = _on_sphere(stations.select("lat", "lng", F.col(name).alias("name")))
+    # Entered 27 times at every level, so dealt out first; no join below may broadcast what the planner takes for small.
+    located = _on_sphere(spread(stations.select("lat", "lng", F.col(name).alias("name")), "name"))
     edge = _finest_edge(located)
     top = max(0, math.ceil(math.log2(2.0 / edge)))
     axes = ("_x", "_y", "_z")
@@ -117,7 +118,7 @@ def nearest_by_grid(points: DataFrame, stations: DataFrame, name: str) -> DataFr
     spots = spots.select("lat", "lng", "_a", "_o", *own)
     cells = spots.select(*own).distinct()
     seen = at_level(cells.withColumn("level", levels)).join(
-        reach.select(*keys).distinct(), keys, "left_semi"
+        reach.select(*keys).distinct().hint("merge"), keys, "left_semi"
     )
     search = seen.groupBy(*own).agg(F.least(F.min("level") + 2, F.lit(top)).alias("level"))
 
@@ -125,12 +126,12 @@ def nearest_by_grid(points: DataFrame, stations: DataFrame, name: str) -> DataFr
     for a in axes:
         gap = (F.col(f"c{a}") + 0.5) * edge - 1 - F.col(a)
         away = away + gap * gap
-    around = at_level(search).join(reach, keys).withColumn("_away", F.sqrt(away))
+    around = at_level(search).join(reach.hint("merge"), keys).withColumn("_away", F.sqrt(away))
     closest = around.groupBy(*own).agg(F.min("_away").alias("_least"))
     # A cell's centre is sqrt(3)/2 edges from its corners; the margin covers rounding.
     limit = (F.col("_least") + math.sqrt(3) * edge) * (1 + 1e-9) + 1e-12
     rivals = around.join(closest, own).where(F.col("_away") <= limit)
-    pairs = spots.join(rivals.select(*own, "name", "_sa", "_so"), own)
+    pairs = spots.hint("merge").join(rivals.select(*own, "name", "_sa", "_so"), own)
     h = _half_chord(F.col("_a"), F.col("_o"), F.col("_sa"), F.col("_so"))
     return pairs.groupBy("lat", "lng").agg(
         F.min(F.struct(h.alias("h"), F.col("name").alias("name"))).alias("_near")
