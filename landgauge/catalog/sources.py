@@ -12,6 +12,7 @@ from landgauge.constants import TRADE_COLUMNS
 from landgauge.operators.encode import LabelEncoder
 from landgauge.operators.land_index import wide_to_long
 from landgauge.operators.metrics import regression_metrics
+from landgauge.session import dealt
 from landgauge.sources import artifacts, landings, payloads, tabular, vectors
 
 RAW_COLUMNS_SQL = ", ".join(f"nullif(\"{c}\", '') AS \"{c}\"" for c in TRADE_COLUMNS)
@@ -77,25 +78,23 @@ def landed_again(spark, sf):
 def reject_broken_lines(spark, sf):
     """Files with columns in another order, with one more and one less column, with broken lines, and without a header."""
     path = scratch(spark, "s1-mixed")
-    raw = raw_trades(spark, sf).select(*TRADE_COLUMNS)
-    part = F.pmod(F.xxhash64(*TRADE_COLUMNS), F.lit(3))
+    raw = raw_trades(spark, sf)
+    part = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(3))
     layouts = [TRADE_COLUMNS, TRADE_COLUMNS[::-1], ["note", *TRADE_COLUMNS]]
     for k, names in enumerate(layouts):
         rows = raw.where(part == k).withColumn("note", F.lit("more, and quoted")).select(*names)
-        lines = rows.select(F.to_csv(F.struct(*names), {"quoteAll": "true", "escape": '"'}).alias("value"))
-        broken = spark.createDataFrame([('"half a line"',), ('"a","line","of","five","cells"',)], "value string")
-        head = spark.createDataFrame([(",".join(names),)], "value string")
-        head.unionByName(lines).unionByName(broken).coalesce(1).write.text(f"{path}/layout={k}")
+        # Every task writes a file of its own, with the header; one more file of the layout has the broken lines.
+        rows.write.csv(f"{path}/layout={k}", header=True, quoteAll=True, escape='"')
+        lines = [",".join(names), '"half a line"', '"a","line","of","five","cells"']
+        spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.mode("append").text(f"{path}/layout={k}")
     spark.createDataFrame([("no header",), ("1,2,3",)], "value string").coalesce(1).write.text(f"{path}/layout=none")
-    rows, rejects = tabular.read_checked(spark, f"{path}/*/*.txt", tabular.TRADE_RAW)
+    rows, rejects = tabular.read_checked(spark, f"{path}/*/*.*", tabular.TRADE_RAW)
     kept = rows.agg(
         F.count(F.lit(1)).alias("rows"), F.sum(F.col("dealYear").try_cast("int")).alias("years"),
         F.count(F.nullif("jibun", F.lit(""))).alias("lots"),
     )
-    lost = rejects.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("source_file").alias("files"))
-    return kept.withColumns(
-        {"rejected": lost.select(F.col("n").cast("int")).scalar(), "files": lost.select(F.col("files").cast("int")).scalar()}
-    )
+    lost = rejects.agg(F.count(F.lit(1)).cast("int").alias("rejected"), F.count_distinct("source_file").cast("int").alias("files"))
+    return kept.crossJoin(lost)
 
 
 @query("s3_read_wide_index", _long_sql())
@@ -209,7 +208,7 @@ def building_answers(spark, sf):
         .when(slot % 2 == 0, F.concat(ok, F.lit('{"item": '), item, F.lit("}}}}")))
         .otherwise(F.concat(ok, F.lit('{"item": ['), item, F.lit(', {"hhldCnt": 999}]}}}}')))
     )
-    return table(spark, sf, "customer").select("c_custkey", payload.alias("payload"))
+    return dealt(table(spark, sf, "customer").select("c_custkey")).select("c_custkey", payload.alias("payload"))
 
 
 @query(
@@ -248,7 +247,7 @@ def geocode_answers(spark, sf):
         .when(k % 3 == 1, "oops")
         .otherwise(F.concat(F.lit('{"documents": [{"place_name": "역'), (k % 9).cast("string"), F.lit('", "distance": "'), (k % 1000).cast("string"), F.lit('"}]}')))
     )
-    return table(spark, sf, "customer").select(
+    return dealt(table(spark, sf, "customer").select("c_custkey")).select(
         "c_custkey", address.alias("payload"), place.alias("place"),
         F.when(slot == 3, "API_LIMIT_REACHED").alias("call_error"),
     )

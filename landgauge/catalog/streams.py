@@ -47,7 +47,8 @@ def resumed_ingest(spark, sf):
            WHEN 4 THEN 'service_error' ELSE 'ok' END AS status, count(*) AS answers FROM customer GROUP BY 1, 2""",
 )
 def route_answers(spark, sf):
-    answers = parse_building_answers(building_answers(spark, sf))
+    # Kept, so that each answer is parsed once and no route's filter is moved before the rows are dealt out.
+    answers = parse_building_answers(building_answers(spark, sf)).persist()
     routes = [rows.withColumn("route", F.lit(name)) for name, rows in ingest.route(answers).items()]
     both = routes[0].unionByName(routes[1])
     return both.groupBy("route", "status").agg(F.count(F.lit(1)).alias("answers"))

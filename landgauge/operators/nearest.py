@@ -44,22 +44,20 @@ def _half_chord(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Colum
 
 def nearest_by_list(points: DataFrame, stations: DataFrame, name: str) -> DataFrame:
     """Add ``_near`` (h, name) by scanning the whole station list on each row."""
-    row = F.struct(
-        F.radians("lat").alias("a"), F.radians("lng").alias("o"), F.col(name).alias("name")
-    )
+    a, o = F.radians("lat"), F.radians("lng")
+    row = F.struct(a.alias("a"), o.alias("o"), F.cos(a).alias("c"), F.col(name).alias("name"))
     listed = stations.select(row.alias("s")).agg(F.collect_list("s").alias("all")).scalar()
-    scored = F.transform(
-        F.col("_all"),
-        lambda s: F.struct(
-            _half_chord(F.col("_a"), F.col("_o"), s["a"], s["o"]).alias("h"), s["name"].alias("name")
-        ),
-    )
+
+    def scored(s: Column) -> Column:
+        half_lat, half_lng = F.sin((s["a"] - F.col("_a")) / 2), F.sin((s["o"] - F.col("_o")) / 2)
+        h = half_lat * half_lat + F.col("_c") * s["c"] * half_lng * half_lng
+        return F.struct(h.alias("h"), s["name"].alias("name"))
+
     return (
-        points.withColumn("_a", F.radians("lat"))
-        .withColumn("_o", F.radians("lng"))
+        points.withColumns({"_a": a, "_o": o, "_c": F.cos(a)})
         .withColumn("_all", listed)
-        .withColumn("_near", F.array_min(scored))
-        .drop("_a", "_o", "_all")
+        .withColumn("_near", F.array_min(F.transform(F.col("_all"), scored)))
+        .drop("_a", "_o", "_c", "_all")
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landgauge.schemas import REGION_CODES, TRADE_RAW
+from landgauge.session import measured
 
 
 def read_csv(
@@ -52,17 +53,21 @@ def read_checked(
     names = F.array(*[F.lit(n) for n in schema.names])
     cells = F.transform(F.split("value", ","), lambda c: F.trim(c, F.lit('" ')))
     known = F.size(F.array_intersect(cells, names))
-    header = F.when(known * 2 > len(schema.names), F.col("value"))
-    files = lines.groupBy("path").agg(F.max(header).alias("header"))
+    # A line with a name in its cells contains it; most lines contain few names and need no splitting.
+    contained = sum((F.contains("value", F.lit(n)).cast("int") for n in schema.names), F.lit(0))
+    header = F.when((contained * 2 > len(schema.names)) & (known * 2 > len(schema.names)), F.col("value"))
+    # One row per file that has a header, kept: the lines themselves are neither sorted nor moved, and read for headers once.
+    files = measured(lines.select("path", header.alias("header")).where(F.col("header").isNotNull()).groupBy("path").agg(F.max("header").alias("header")))
     heads = [r["header"] for r in files.select("header").distinct().collect()]  # the layouts, not the files
-    named = lines.join(files, "path").withColumn("source_file", F.element_at(F.split("path", "/"), -1))
+    named = lines.join(F.broadcast(files), "path", "left").withColumn("source_file", F.element_at(F.split("path", "/"), -1))
     rows, rejects = None, named.where(F.col("header").isNull()).select("source_file", F.col("value").alias("record"))
     for head in sorted(h for h in heads if h is not None):
         own = [c.strip('" ') for c in head.split(",")]
         layout = ", ".join([*[f"c{i} string" for i in range(len(own))], "_broken string"])
         options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
         body = named.where((F.col("header") == head) & (F.col("value") != head) & (F.col("value") != ""))
-        read = body.select("source_file", F.from_csv("value", F.lit(layout), options).alias("r"))
+        # Exploded, so that a line is parsed once, not again for the filter and for every column that is read.
+        read = body.select("source_file", F.explode_outer(F.array(F.from_csv("value", F.lit(layout), options))).alias("r"))
         place = {c: i for i, c in enumerate(own)}
         picked = [F.col(f"r.c{place[n]}").alias(n) if n in place else F.lit(None).cast("string").alias(n) for n in schema.names]
         good = read.where(F.col("r._broken").isNull()).select(*picked, "source_file")

@@ -2,7 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from landgauge.catalog import parsing, sources, streams, tables
+from landgauge.functions import parsing as P
 from landgauge.operators import nearest
+from landgauge.sources import tabular
+from landgauge.schemas import TRADE_RAW
 
 
 def plan(df):
@@ -17,3 +21,58 @@ def test_grid_broadcasts_nothing(spark):
     found = nearest.nearest_by_grid(points, stations, "subway_name")
     assert "Broadcast" not in plan(found)
     assert found.count() == points.distinct().count()
+
+
+def write_orders(spark, path):
+    k = F.col("id")
+    spark.range(3_000).select(k.alias("c_custkey"), (k % 25).cast("int").alias("c_nationkey")).coalesce(1).write.parquet(f"{path}/customer.parquet")
+    day = F.date_add(F.lit("1995-01-31").cast("date"), (k % 700).cast("int")).cast("timestamp")
+    spark.range(3_000).select(k.alias("o_orderkey"), k.alias("o_custkey"), day.alias("o_orderdate")).coalesce(1).write.parquet(f"{path}/orders.parquet")
+
+
+def tasks_with_rows(df):
+    return df.select(F.spark_partition_id().alias("p")).distinct().count()
+
+
+def test_one_row_group_feeds_many_tasks(spark, tmp_path):
+    write_orders(spark, tmp_path)
+    assert tasks_with_rows(tables.properties(spark, tmp_path)) > 8
+    assert tasks_with_rows(sources.building_answers(spark, tmp_path)) > 8
+    assert tasks_with_rows(parsing.trailing_months(spark, tmp_path)) > 8
+
+
+def test_routed_answers_are_parsed_once(spark, tmp_path):
+    write_orders(spark, tmp_path)
+    routed = streams.route_answers(spark, tmp_path)
+    assert routed._jdf.queryExecution().optimizedPlan().toString().count("InMemoryRelation") == 2
+    assert routed.agg(F.sum("answers")).first()[0] == 3_000
+
+
+def test_trailing_months_of_all_years(spark):
+    days = ["1995-01-31", "2004-02-29", "1003-01-01", "1004-12-31", "0950-07-01", "9999-12-31", None]
+    rows = spark.createDataFrame([(d,) for d in days], "d string").withColumn("d", F.col("d").cast("date"))
+    last = F.trunc("d", "MM")
+    plain = F.transform(F.sequence(F.add_months(last, -59), last, F.expr("interval 1 month")), lambda m: F.date_format(m, "yyyyMM"))
+    got = rows.select("d", P.trailing_months("d").alias("got"), plain.alias("plain")).collect()
+    assert all(r.got == r.plain for r in got)
+
+
+def test_list_search_equals_grid_search(spark):
+    k = F.col("id")
+    points = spark.range(500).select((33 + k * 617 % 1009 / 500).alias("lat"), (126 + k * 283 % 1013 / 500).alias("lng"))
+    stations = spark.range(40).select(F.concat(F.lit("s"), k).alias("subway_name"), (33 + k * 71 % 41 / 20).alias("lat"), (126 + k * 13 % 43 / 20).alias("lng"))
+    a = nearest.nearest_by_list(points, stations, "subway_name").collect()
+    b = nearest.nearest_by_grid(points, stations, "subway_name").collect()
+    assert sorted((r.lat, r.lng, r._near.name) for r in a) == sorted((r.lat, r.lng, r._near.name) for r in b)
+
+
+def test_headers_are_found_without_sorting_lines(spark, tmp_path):
+    names = TRADE_RAW.names
+    for k, order in enumerate((names, names[::-1])):
+        lines = [",".join(order), ",".join(f"{n}{k}" for n in order), ",".join(order[:-1]), '"half']
+        spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(f"{tmp_path}/{k}")
+    spark.createDataFrame([("no header",), ("1,2",)], "value string").coalesce(1).write.text(f"{tmp_path}/none")
+    rows, rejects = tabular.read_checked(spark, f"{tmp_path}/*/*.txt", TRADE_RAW)
+    assert "SortMergeJoin" not in plan(rows) and plan(rows).count("from_csv") == 2  # once a layout
+    assert sorted(r.jibun for r in rows.collect()) == ["jibun0", "jibun1"]
+    assert rejects.count() == 2 * 2 + 2
