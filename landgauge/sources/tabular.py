@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +40,13 @@ def read_trades(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return read_csv(spark, paths, TRADE_RAW).withColumn("source_file", F.col("_metadata.file_name"))
 
 
+def _picked(names: list[str], own: list[str]) -> Callable[[Column], Column]:
+    """From a parsed line of the columns ``own`` to those asked for, null where it lacks them."""
+    place = {c: i for i, c in enumerate(own)}
+    none = F.lit(None).cast("string")
+    return lambda r: F.struct(*[(r[f"c{place[n]}"] if n in place else none).alias(n) for n in names], r["_broken"].alias("_broken"))
+
+
 def read_checked(
     spark: SparkSession, paths: str | list[str], schema: T.StructType, encoding: str = "UTF-8"
 ) -> tuple[DataFrame, DataFrame]:
@@ -47,8 +56,9 @@ def read_checked(
     lacks are null. Files of the same header are read together. Lines with another number of cells than their header,
     and all lines of files without one, come back as they are: (source_file, record).
     """
+    text = F.col("value")
     lines = spark.read.option("encoding", encoding).text(paths).select(
-        F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", "^\ufeff", "").alias("value")
+        F.col("_metadata.file_path").alias("path"), F.when(text.startswith("\ufeff"), F.substring(text, 2, 1 << 30)).otherwise(text).alias("value")
     )
     names = F.array(*[F.lit(n) for n in schema.names])
     cells = F.transform(F.split("value", ","), lambda c: F.trim(c, F.lit('" ')))
@@ -60,21 +70,22 @@ def read_checked(
     files = measured(lines.select("path", header.alias("header")).where(F.col("header").isNotNull()).groupBy("path").agg(F.max("header").alias("header")))
     heads = [r["header"] for r in files.select("header").distinct().collect()]  # the layouts, not the files
     named = lines.join(F.broadcast(files), "path", "left").withColumn("source_file", F.element_at(F.split("path", "/"), -1))
-    rows, rejects = None, named.where(F.col("header").isNull()).select("source_file", F.col("value").alias("record"))
-    for head in sorted(h for h in heads if h is not None):
+    # A line is parsed by its own layout, once, in an array: not again for the filter and for every column that is read.
+    cells = F.lit(None)
+    for head in sorted(heads):
         own = [c.strip('" ') for c in head.split(",")]
         layout = ", ".join([*[f"c{i} string" for i in range(len(own))], "_broken string"])
         options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}
-        body = named.where((F.col("header") == head) & (F.col("value") != head) & (F.col("value") != ""))
-        # Exploded, so that a line is parsed once, not again for the filter and for every column that is read.
-        read = body.select("source_file", F.explode_outer(F.array(F.from_csv("value", F.lit(layout), options))).alias("r"))
-        place = {c: i for i, c in enumerate(own)}
-        picked = [F.col(f"r.c{place[n]}").alias(n) if n in place else F.lit(None).cast("string").alias(n) for n in schema.names]
-        good = read.where(F.col("r._broken").isNull()).select(*picked, "source_file")
-        rows = good if rows is None else rows.unionByName(good)
-        rejects = rejects.unionByName(read.where(F.col("r._broken").isNotNull()).select("source_file", F.col("r._broken").alias("record")))
-    if rows is None:
-        rows = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("source_file", T.StringType())]))
+        options["inputBufferSize"] = "4096"  # made anew for each line, and by default of a million characters
+        parsed = F.array(F.from_csv("value", F.lit(layout), options))
+        cells = F.when(F.col("header") == head, F.transform(parsed, _picked(schema.names, own))).otherwise(cells)
+    rejects = named.where(F.col("header").isNull()).select("source_file", F.col("value").alias("record"))
+    if not heads:
+        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("source_file", T.StringType())])), rejects
+    body = named.where(F.col("header").isNotNull() & (F.col("value") != F.col("header")) & (F.col("value") != ""))
+    read = body.select("source_file", F.explode_outer(cells).alias("r"))
+    rows = read.where(F.col("r._broken").isNull()).select(*[F.col(f"r.{n}") for n in schema.names], "source_file")
+    rejects = rejects.unionByName(read.where(F.col("r._broken").isNotNull()).select("source_file", F.col("r._broken").alias("record")))
     return rows, rejects
 
 
