@@ -92,3 +92,19 @@ def test_odd_rows(spark):
         fitted = BoostedTrees.fit(df, ["a", "b"], "y", trees=3)
         assert fitted.trees == [] and fitted.start == (3.0 if rows and rows[0][2] else 0.0)
         assert [r.p for r in fitted.transform(df, "p").collect()] == [fitted.start] * len(rows)
+
+
+def test_a_finished_tree_is_walked_once(spark):
+    """The blocks hold the predictions of all trees, so that no later job walks the trees before."""
+    rng = np.random.default_rng(4)
+    x, y = rng.integers(0, 6, (3, 200)).astype(np.uint8), rng.normal(size=200)
+    one = (x.tobytes(), y.tobytes(), np.ones(200, bool).tobytes(), np.zeros(200).tobytes())
+    fit = boosting.Boosting(spark.createDataFrame([one], boosting.BLOCKS).persist(), 3, 7, 1)
+    want = np.zeros(200)
+    for _ in range(3):
+        tree, _ = fit.grow(6, None, 0.5, 5)
+        fit.keep(tree)
+        want += tree.values_of(x.T)
+        assert np.allclose(np.frombuffer(fit.blocks.first().base), want)
+    assert np.square(y - want).sum() < np.square(y).sum()
+    fit.close()
