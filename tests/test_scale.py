@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from landgauge.catalog import parsing, sources, streams, tables
 from landgauge.functions import parsing as P
-from landgauge.operators import nearest
+from landgauge.operators import nearest, similar
 from landgauge.sources import tabular
 from landgauge.schemas import TRADE_RAW
 
@@ -76,3 +76,14 @@ def test_headers_are_found_without_sorting_lines(spark, tmp_path):
     assert "SortMergeJoin" not in plan(rows) and plan(rows).count("from_csv") == 2  # once a layout
     assert sorted(r.jibun for r in rows.collect()) == ["jibun0", "jibun1"]
     assert rejects.count() == 2 * 2 + 2
+
+
+def test_queries_travel_once_a_region(spark, monkeypatch):
+    """Small blocks that rule out little: vectors are sent by regions, not by blocks."""
+    rows = spark.range(600).select("id", F.array(*[((F.hash("id", F.lit(j)) % 1000) / 1000.0).cast("float") for j in range(32)]).alias("embedding"))
+    search = similar.BlockSearch(rows, n=3, block_rows=20)
+    sent, real = [], search._meet
+    monkeypatch.setattr(search, "_meet", lambda visits: sent.append(visits.count()) or real(visits))
+    _, report = search.answer(rows)
+    assert search.blocks >= 30 and report.first().compared > 600 * 15
+    assert sum(sent) <= 2 * 600
