@@ -1,10 +1,12 @@
 """What grows with the tables is dealt out: no broadcast of expanded rows, no single task for a whole table."""
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from landgauge.catalog import parsing, sources, streams, tables
 from landgauge.functions import parsing as P
-from landgauge.operators import nearest, similar
+from landgauge.operators import lsa, nearest, similar
 from landgauge.sources import tabular
 from landgauge.schemas import TRADE_RAW
 
@@ -87,3 +89,39 @@ def test_queries_travel_once_a_region(spark, monkeypatch):
     _, report = search.answer(rows)
     assert search.blocks >= 30 and report.first().compared > 600 * 15
     assert sum(sent) <= 2 * 600
+
+
+def test_only_terms_that_can_make_the_list_are_shuffled(spark, monkeypatch):
+    """Terms of light buckets are never grouped; collisions, equal counts and texts without terms change nothing."""
+    k = F.col("id")
+    texts = spark.range(4_000).select(F.concat(F.lit("w"), k, F.lit(" common w"), k % 7, F.lit(" v"), k % 40).alias("t"))
+    texts = texts.unionByName(spark.createDataFrame([("",), (None,)], "t string"))
+    for buckets, most in ((5_000, 1_500), (16, None), (1, None)):
+        kept, real = [], lsa.measured
+        monkeypatch.setattr(lsa, "BUCKETS", buckets)
+        monkeypatch.setattr(lsa, "measured", lambda df: kept.append(real(df)) or kept[-1])
+        for max_terms in (1, 60, 50_000):
+            terms = lsa.with_terms(texts, "t").select(F.explode("terms").alias("term"))
+            want = terms.groupBy("term").count().orderBy(F.desc("count"), "term").limit(max_terms)
+            got = lsa._most_used(terms, max_terms)
+            assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+            if most and max_terms == 60:
+                assert all(df.count() < most for df in kept if "uses" in df.columns)
+            kept.clear()
+        monkeypatch.setattr(lsa, "measured", real)
+
+
+def test_rows_laid_out_give_the_same_products():
+    """Full rows are multiplied as a dense matrix, thin ones by their terms; both give what a plain product gives."""
+    rng = np.random.default_rng(3)
+    for share, laid_out in ((0.3, True), (0.0004, False)):
+        m = np.where(rng.random((300, 4_000)) < share, rng.normal(size=(300, 4_000)), 0)
+        m[17] = 0
+        idx = [np.flatnonzero(r).astype(np.int32) for r in m]
+        columns = [pa.array(idx, pa.list_(pa.int32())), pa.array([r[i] for r, i in zip(m, idx)], pa.list_(pa.float64()))]
+        batch = pa.RecordBatch.from_arrays(columns, names=["indices", "values"])
+        block = rng.normal(size=(4_000, 9))
+        assert any(p[5] is not None for p in lsa._products(batch, block)) == laid_out
+        assert np.allclose(lsa._added(None, batch, block), m.T @ (m @ block))
+        triangle = lsa._stacked(None, batch, block)
+        assert np.allclose(triangle.T @ triangle, (m @ block).T @ (m @ block))
