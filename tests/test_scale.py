@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from landgauge.catalog import parsing, sources, streams, tables
 from landgauge.functions import parsing as P
 from landgauge.operators import lsa, nearest, similar
+from landgauge.plans import features
 from landgauge.sources import tabular
 from landgauge.schemas import TRADE_RAW
 
@@ -125,3 +126,15 @@ def test_rows_laid_out_give_the_same_products():
         assert np.allclose(lsa._added(None, batch, block), m.T @ (m @ block))
         triangle = lsa._stacked(None, batch, block)
         assert np.allclose(triangle.T @ triangle, (m @ block).T @ (m @ block))
+
+
+def test_encoders_are_fitted_from_rows_computed_once(spark, monkeypatch):
+    seen, real = [], features.LabelEncoder.fit
+    monkeypatch.setattr(features.LabelEncoder, "fit", lambda train, columns: seen.append(train.storageLevel.useMemory) or real(train, columns))
+    names = ["mhouseNm", "umdNm", "sido", "region", "subway_name", "houseType"]
+    numbers = ["buildYear", "Age", "floor", "dealYear", "dealMonth", "dealDay", "subway_dist", "Price_per_m2", "excluUseAr", "landAr"]
+    more = ["parking_ratio", "has_elevator", "dealAmount", "total_floors"]
+    rows = [(f"r{i}", *[f"{c}{i % 3}" for c in names], 1990.0 + i % 9, 3.0, 2.0, 2020, i % 12 + 1, i % 28 + 1, *[float(i)] * 4, 0.5, 1, 30_000, 4) for i in range(30)]
+    df = spark.createDataFrame(rows, ["row_id", *names, *numbers, *more])
+    encoded, _, _ = features.chronological_features(df, "row_id")
+    assert seen == [True] and encoded.count() == 30
