@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from landgauge.catalog import parsing, sources, streams, tables
+from landgauge.catalog import parsing, plans, sources, streams, tables
 from landgauge.functions import parsing as P
 from landgauge.operators import lsa, nearest, similar
 from landgauge.plans import features
@@ -138,3 +138,20 @@ def test_encoders_are_fitted_from_rows_computed_once(spark, monkeypatch):
     df = spark.createDataFrame(rows, ["row_id", *names, *numbers, *more])
     encoded, _, _ = features.chronological_features(df, "row_id")
     assert seen == [True] and encoded.count() == 30
+
+
+def test_batch_asks_every_twentieth_order_among_all_rows(spark, monkeypatch):
+    k = F.col("id")
+    rows = spark.range(200).select(k.alias("l_orderkey"), *[(k % 7 + i).alias(c) for i, c in enumerate(plans.KEYS[1:])])
+    vectors = {f"{i}-{i % 7}-{i % 7 + 1}-{i % 7 + 2}": np.random.default_rng(i).normal(size=4).tolist() for i in range(200)}
+    index = spark.createDataFrame(list(vectors.items()), "id string, embedding array<double>")
+    monkeypatch.setattr(plans, "listings", lambda *_: rows)
+    monkeypatch.setattr(plans, "embedding_index", lambda listed, row_id: listed.select(row_id).join(index, row_id))
+    got = {(r.query_id, r.rank): r.id for r in plans.batch(spark, "").collect()}
+    names, m = list(vectors), np.array(list(vectors.values()))
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    want = {}
+    for i in range(0, 200, 20):
+        near = [j for j in np.argsort(-(m @ m[i])) if j != i][:3]
+        want |= {(names[i], rank): names[j] for rank, j in enumerate(near, 1)}
+    assert got == want
