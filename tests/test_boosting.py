@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from landgauge.operators import boosting
 from landgauge.operators.boosting import BoostedTrees
@@ -108,3 +109,43 @@ def test_a_finished_tree_is_walked_once(spark):
         assert np.allclose(np.frombuffer(fit.blocks.first().base), want)
     assert np.square(y - want).sum() < np.square(y).sum()
     fit.close()
+
+
+def test_quantiles_are_those_of_sorted_values(monkeypatch):
+    rng = np.random.default_rng(4)
+    x = np.round(rng.normal(size=40_000), 3)
+    shares = [k / 255 for k in range(1, 255)]
+    want = np.unique(np.sort(x)[np.ceil(np.array(shares) * len(x)).astype(int) - 1])
+    v, c = boosting.counted(x, np.ones(len(x), np.int64))
+    assert np.array_equal(boosting.quantiles(v, c, shares), want)
+    assert len(boosting.quantiles(*boosting.counted(x[:0], np.empty(0, np.int64)), shares)) == 0
+    # Of more values than a summary holds, ranks are off by a small share, and no row is lost.
+    monkeypatch.setattr(boosting, "POINTS", 1_000)
+    x = rng.normal(size=40_000)
+    v, c = boosting.counted(x, np.ones(len(x), np.int64))
+    assert len(v) <= 1_000 and c.sum() == len(x)
+    at = np.searchsorted(np.sort(x), boosting.quantiles(v, c, shares)) + 1 - np.ceil(np.array(shares) * len(x))
+    assert at.min() >= 0 and at.max() <= len(x) / 1_000
+
+
+def test_rows_are_computed_once_for_a_fit(spark, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+
+    def counting(v):
+        made.add(1)
+        return v
+
+    rows = frame(spark, 900, 3)[1]
+    counted = F.udf(counting, "double").asNondeterministic()  # so that it stays where it is
+    model = BoostedTrees.fit(rows.withColumn("y", counted("y")), ["a", "b", "c"], "y", trees=2, leaves=4)
+    assert len(model.trees) == 2 and made.value == 900
+
+
+def test_a_prediction_asks_for_its_features_only(spark):
+    rows = frame(spark, 600, 3)[1]
+    model = BoostedTrees.fit(rows, ["a"], "y", trees=1, leaves=3)
+    wide = rows.withColumn("text", F.regexp_replace(F.col("y").cast("string"), "1", "2"))
+    found = model.transform(wide, "p")
+    assert found.columns == [*wide.columns, "p"]
+    assert "regexp_replace" not in found.select("p")._jdf.queryExecution().executedPlan().toString()
+    assert found.where("p is null").count() == 0
