@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from landgauge.catalog import learning
 from landgauge.operators import boosting
 from landgauge.operators.boosting import BoostedTrees
 
@@ -132,3 +133,45 @@ def test_a_prediction_asks_for_its_features_only(spark):
     assert found.columns == [*wide.columns, "p"]
     assert "regexp_replace" not in found.select("p")._jdf.queryExecution().executedPlan().toString()
     assert found.where("p is null").count() == 0
+
+
+@pytest.mark.parametrize("watched", [None, "v"])
+def test_one_task_grows_the_trees_that_jobs_grow(spark, monkeypatch, watched):
+    rows = frame(spark, 800, 5)[1]
+    asked = dict(trees=12, leaves=9, depth=4, rate=0.4, patience=3 if watched else None, max_bins=30, least_rows=7)
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 90)
+    fitted = []
+    for most in (0, boosting.ONE_TASK_BYTES):
+        monkeypatch.setattr(boosting, "ONE_TASK_BYTES", most)
+        fitted.append(BoostedTrees.fit(rows, ["a", "b", "c"], "y", watched, **asked))
+    by_jobs, alone = fitted
+    assert len(by_jobs.trees) == len(alone.trees) > 3 and np.allclose(by_jobs.history, alone.history)
+    for a, b in zip(by_jobs.trees, alone.trees):
+        assert a.feature == b.feature and a.bin == b.bin  # a node without missing values may send them either way
+        assert np.allclose(a.value, b.value) and np.allclose(a.gain, b.gain)
+
+
+def test_rows_in_one_task_need_no_jobs_for_their_trees(spark, monkeypatch):
+    def none(*_):
+        raise AssertionError("a job for a few rows")
+
+    monkeypatch.setattr(boosting.Boosting, "histograms", none)
+    assert len(BoostedTrees.fit(frame(spark, 300, 6)[1], ["a", "b"], "y", trees=5, leaves=4).trees) == 5
+
+
+def test_valuation_asks_for_the_whole_model(spark, monkeypatch):
+    """As many trees, at the rate and with the patience of the function, not a few large steps."""
+    names = ["row_id", "umdNm", "houseType"]
+    numbers = ["subway_dist", "parking_ratio", "buildYear", "has_elevator", "total_floors", "floor", "excluUseAr", "landAr", "Age", "land_index", "Price_per_m2_log"]
+    rows = [(*[f"{c}{i % 9 if c != 'row_id' else i}" for c in names], *[float(i % 13 + 1)] * len(numbers)) for i in range(60)]
+    monkeypatch.setattr(learning, "priced", lambda *_: spark.createDataFrame(rows, [*names, *numbers]).withColumn("split", F.lit("train")))
+    asked = []
+
+    def fit(*args, **params):
+        asked.append(params)
+        raise InterruptedError
+
+    monkeypatch.setattr(BoostedTrees, "fit", fit)
+    with pytest.raises(InterruptedError):
+        learning.valuation(spark, "no tables")
+    assert asked == [dict(trees=2_000, leaves=64, depth=10, rate=0.05, patience=50)]
