@@ -5,6 +5,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from landgauge.catalog import parsing, plans, sources, streams, tables
+from landgauge.catalog.registry import QUERIES
 from landgauge.functions import parsing as P
 from landgauge.operators import lsa, nearest, similar
 from landgauge.plans import features
@@ -155,3 +156,34 @@ def test_batch_asks_every_twentieth_order_among_all_rows(spark, monkeypatch):
         near = [j for j in np.argsort(-(m @ m[i])) if j != i][:3]
         want |= {(names[i], rank): names[j] for rank, j in enumerate(near, 1)}
     assert got == want
+
+
+def test_batch_query_asks_for_all_rows(spark, monkeypatch):
+    k = F.col("id")
+    rows = spark.range(90).select(k.alias("l_orderkey"), *[(k % 7 + i).alias(c) for i, c in enumerate(plans.KEYS[1:])])
+    m = np.random.default_rng(9).normal(size=(90, 4))
+    names = [f"{i}-{i % 7}-{i % 7 + 1}-{i % 7 + 2}" for i in range(90)]
+    index = spark.createDataFrame([(n, v.tolist()) for n, v in zip(names, m)], "id string, embedding array<double>")
+    monkeypatch.setattr(plans, "listings", lambda *_: rows)
+    monkeypatch.setattr(plans, "embedding_index", lambda listed, row_id: listed.select(row_id).join(index, row_id))
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    near = [[j for j in np.argsort(-(m @ m[i])) if j != i][:3] for i in range(90)]
+    want = {(names[i], rank): names[j] for i in range(90) for rank, j in enumerate(near[i], 1)}
+    assert {(r.query_id, r.rank): r.id for r in QUERIES["plan_batch_comparables"](spark, "").collect()} == want
+
+
+def test_planes_between_pivots_rule_out_blocks(spark):
+    """Rows in all directions, each with close neighbours: few blocks are visited, and no row is missed."""
+    rng = np.random.default_rng(10)
+    m = (np.repeat(rng.normal(size=(500, 32)), 4, axis=0) + rng.normal(0, 1e-4, (2_000, 32))).astype(np.float32)
+    m[:3] = 0
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "id long, embedding array<float>")
+    found, report = similar.BlockSearch(df, n=3, block_rows=50).answer(df)
+    work = report.first()
+    assert work.compared < work.pairs / 20  # 7,658 by radii alone, 4,362 with the planes
+    unit = m / np.maximum(np.linalg.norm(m.astype(float), axis=1, keepdims=True), 1e-300)
+    got = {(r.query_id, r.rank): round(r.similarity, 6) for r in found.collect()}
+    sims = unit @ unit.T
+    np.fill_diagonal(sims, -2)
+    best = -np.sort(-sims, axis=1)[:, :3]
+    assert all(abs(got[q, k + 1] - best[q, k]) < 2e-6 for q in range(2_000) for k in range(3))
