@@ -146,3 +146,11 @@ def test_haversine(spark):
     # A quarter of a meridian.
     metres = one(spark, N.haversine_m(F.lit(0.0), F.lit(0.0), F.lit(90.0), F.lit(0.0)))
     assert metres == pytest.approx(6_371_000 * 3.141592653589793 / 2)
+
+
+def test_bits_of_a_value_are_worked_out_once(spark):
+    """One logarithm and one power a value, however often the parts of the key are used."""
+    df = spark.range(10).select((F.col("id") / 7).alias("x"), (F.col("id") / 3).alias("y")).persist()
+    keys = df.select(N.ordered_bits("x").alias("a"), N.ordered_bits("y").alias("b"))
+    code = spark._jvm.PythonSQLUtils.explainString(keys._jdf.queryExecution(), "codegen")
+    assert code.count("StrictMath.pow(") == 2 and code.count("StrictMath.log(") == 2 * 2  # a logarithm and that of two
