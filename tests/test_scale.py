@@ -2,13 +2,14 @@
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from landgauge.catalog import parsing, plans, sources, streams, tables
 from landgauge.catalog.registry import QUERIES
 from landgauge.functions import parsing as P
 from landgauge.operators import lsa, nearest, similar
-from landgauge.plans import features
+from landgauge.plans import comparables, features
 from landgauge.sources import tabular
 from landgauge.schemas import TRADE_RAW
 
@@ -187,3 +188,31 @@ def test_planes_between_pivots_rule_out_blocks(spark):
     np.fill_diagonal(sims, -2)
     best = -np.sort(-sims, axis=1)[:, :3]
     assert all(abs(got[q, k + 1] - best[q, k]) < 2e-6 for q in range(2_000) for k in range(3))
+
+
+def test_comparables_of_odd_vectors(spark):
+    """As the column form has it: missing, short, empty and incomplete vectors, and such without length."""
+    vectors = [[3.0, 4.0], [0.6, 0.8], None, [1.0], [], [1.0, None], [0.0, 0.0], [-4.0, 3.0], [float("nan"), 1.0], [4.0, 3.0]]
+    df = spark.createDataFrame(list(enumerate(vectors)), "id long, embedding array<float>")
+    plain = df.crossJoin(df.where("id = 0").select(F.col("embedding").alias("t"))).where("id <> 0 AND embedding IS NOT NULL")
+    plain = plain.select("id", similar.cosine(F.col("embedding"), F.col("t")).alias("similarity"))
+    want = plain.orderBy(F.desc("similarity"), "id").collect()
+    got = similar.comparables(df, 0, 20)
+    assert "ArrowEvalPython" in plan(got)
+    assert [(r.id, str(round(r.similarity, 9))) for r in got.collect()] == [(r.id, str(round(r.similarity, 9))) for r in want]
+    assert similar.comparables(df, 2, 3).count() == 0
+    with pytest.raises(Exception, match="not unique"):
+        similar.comparables(df.unionByName(df), 0, 3).collect()
+
+
+def test_texts_of_the_index_are_made_once(spark, monkeypatch):
+    made = spark.sparkContext.accumulator(0)
+
+    def counting(v):
+        made.add(1)
+        return v
+
+    counted = F.udf(counting, "string").asNondeterministic()
+    rows = spark.range(70).select("id", F.concat(F.lit("w"), F.col("id") % 9, F.lit(" v"), F.col("id") % 5).alias("t"))
+    index = comparables.embedding_index(rows.select("id", counted("t").alias("text")), "id", "text", 4)
+    assert index.count() == 70 and made.value == 70
