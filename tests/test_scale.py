@@ -216,3 +216,13 @@ def test_texts_of_the_index_are_made_once(spark, monkeypatch):
     rows = spark.range(70).select("id", F.concat(F.lit("w"), F.col("id") % 9, F.lit(" v"), F.col("id") % 5).alias("t"))
     index = comparables.embedding_index(rows.select("id", counted("t").alias("text")), "id", "text", 4)
     assert index.count() == 70 and made.value == 70
+
+
+def test_zeros_of_both_signs_are_one_vector(spark):
+    df = spark.createDataFrame([(1, [0.0, 1.0]), (2, [-0.0, 1.0]), (3, [1.0, -0.0])], "id long, embedding array<double>")
+    got = {(r.query_id, r.rank): r.id for r in similar.batch_comparables(df, df).collect()}
+    assert got == {(1, 1): 2, (1, 2): 3, (2, 1): 1, (2, 2): 3, (3, 1): 1, (3, 2): 2}
+    search = similar.BlockSearch(df, 3)
+    assert search.count == 2
+    ranked = search.answer(df)[0]._jdf.queryExecution().executedPlan().toString()
+    assert ranked.count("xxhash64(v#") >= 2  # queries are joined by hash first, as whole vectors are slow to sort by
